@@ -1,0 +1 @@
+"""Applying fitted models to streaming DataFrames."""
