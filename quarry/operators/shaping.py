@@ -98,9 +98,9 @@ def stratified_split(df: DataFrame, weights: Sequence[float], key: str, strata:
 # ----------------------------------------------------------------- ranks, quantiles
 
 
-def global_cumsum(df: DataFrame, order: Sequence[Column | str], weight: Column | str, name: str = "cum") -> DataFrame:
-    """Running total of ``weight`` in the total order ``order`` without a
-    single-partition window.
+def global_cumsums(df: DataFrame, order: Sequence[Column | str], weights: dict[str, Column | str]) -> DataFrame:
+    """Running totals (one output column per entry of ``weights``) in the
+    total order ``order`` without a single-partition window.
 
     Rows are range-partitioned on ``order`` and checkpointed (so partition
     ids are fixed), summed inside each partition, and shifted by the totals
@@ -111,23 +111,30 @@ def global_cumsum(df: DataFrame, order: Sequence[Column | str], weight: Column |
     scratch_dir(spark)
     nparts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    wcol = F.col(weight) if isinstance(weight, str) else weight
-    ranged = (
-        df.withColumn("__w", wcol)
-        .repartitionByRange(nparts, *order_cols)
-        .withColumn("__pid", F.spark_partition_id())
-        .checkpoint()
-    )
+    tmp = {name: f"__w_{name}" for name in weights}
+    staged = df
+    for name, w in weights.items():
+        staged = staged.withColumn(tmp[name], F.col(w) if isinstance(w, str) else w)
+    ranged = staged.repartitionByRange(nparts, *order_cols).withColumn("__pid", F.spark_partition_id()).checkpoint()
     running = Window.partitionBy("__pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.withColumn("__local", F.sum("__w").over(running))
-    totals = ranged.groupBy("__pid").agg(F.sum("__w").alias("__tot"))
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("__pid", F.coalesce(F.sum("__tot").over(before), F.lit(0)).alias("__off"))
-    return (
-        local.join(F.broadcast(offsets), "__pid")
-        .withColumn(name, F.col("__off") + F.col("__local"))
-        .drop("__pid", "__w", "__local", "__off")
+    local = ranged
+    for name in weights:
+        local = local.withColumn(f"__l_{name}", F.sum(tmp[name]).over(running))
+    totals = ranged.groupBy("__pid").agg(*[F.sum(tmp[n]).alias(f"__t_{n}") for n in weights])
+    offsets = totals.select(
+        "__pid", *[F.coalesce(F.sum(f"__t_{n}").over(before), F.lit(0)).alias(f"__o_{n}") for n in weights]
     )
+    out = local.join(F.broadcast(offsets), "__pid")
+    for name in weights:
+        out = out.withColumn(name, F.col(f"__o_{name}") + F.col(f"__l_{name}"))
+    drop = ["__pid"] + [c for n in weights for c in (tmp[n], f"__l_{n}", f"__o_{n}")]
+    return out.drop(*drop)
+
+
+def global_cumsum(df: DataFrame, order: Sequence[Column | str], weight: Column | str, name: str = "cum") -> DataFrame:
+    """Running total of one weight in the total order ``order`` (see ``global_cumsums``)."""
+    return global_cumsums(df, order, {name: weight})
 
 
 def global_index(df: DataFrame, order: Sequence[Column | str], name: str = "index") -> DataFrame:
