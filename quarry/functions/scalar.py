@@ -40,17 +40,23 @@ def array_element(arr: ColumnOrName, index: int) -> Column:
 
 
 def parse_timestamp(c: ColumnOrName, fmt: str = "M/d/yyyy H:mm") -> Column:
-    """Lenient timestamp parse: null instead of an error on malformed text."""
-    return F.try_to_timestamp(_col(c), F.lit(fmt))
+    """Lenient timestamp parse: null instead of an error on malformed text.
+
+    The result is TIMESTAMP_NTZ holding the wall-clock time written in the
+    text, so it does not depend on the session time zone."""
+    return F.try_to_timestamp(_col(c), F.lit(fmt)).cast("timestamp_ntz")
 
 
 def epoch_seconds(c: ColumnOrName) -> Column:
-    """Seconds since the epoch; works for TIMESTAMP and TIMESTAMP_NTZ."""
-    return F.unix_timestamp(_col(c).cast("timestamp"))
+    """Seconds since the epoch.  TIMESTAMP_NTZ counts its wall-clock time as
+    UTC (no session time-zone shift); TIMESTAMP is an instant already."""
+    return F.unix_timestamp(_col(c))
 
 
 def whitespace_tokens(c: ColumnOrName) -> Column:
-    """Lower-case and split on each whitespace character (inner empties kept)."""
+    """Lower-case and split on each whitespace character with SQL ``split``
+    semantics: every empty piece is kept, trailing ones included.  The
+    ``Tokenizer`` operator (``operators.text.tokenize``) drops trailing ones."""
     return F.split(F.lower(_col(c)), r"\s")
 
 

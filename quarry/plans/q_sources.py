@@ -85,7 +85,7 @@ def s5_read_delimited(spark, sf):
         .groupBy("o_custkey", "l_partkey")
         .agg(
             F.avg(F.least(F.ceil(F.col("l_quantity") / 10), F.lit(5)).cast("double")).cast("float").alias("r"),
-            F.unix_timestamp(F.max("l_shipdate").cast("timestamp")).alias("t"),
+            F.unix_timestamp(F.max("l_shipdate")).alias("t"),
         )
         .select(F.concat_ws("::", "o_custkey", "l_partkey", F.col("r").cast("string"), "t").alias("value"))
     )
