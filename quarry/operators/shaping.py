@@ -142,6 +142,34 @@ def global_index(df: DataFrame, order: Sequence[Column | str], name: str = "inde
     return global_cumsum(df, order, F.lit(1), name).withColumn(name, F.col(name) - 1)
 
 
+def lead_within(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, name: str = "next"
+) -> DataFrame:
+    """``lead(value)`` over each group in ``order``, without putting a group in one task.
+
+    Rows get a global position in the order ``(group..., order...)`` (range
+    partitioning splits even a group holding a third of all rows, because
+    the later sort columns separate its rows), and each row is joined to the
+    row at the next position when that row belongs to the same group.  The
+    join key is the unique position, so no key is hot.  Rows identical in
+    every sort column are interchangeable; give a total order for exact
+    reproducibility.
+    """
+    cols = list(group) + [c for c in order if c not in group]
+    pos = global_index(df, cols, "__pos").checkpoint()
+    nxt = pos.select(
+        (F.col("__pos") - 1).alias("__pos"),
+        *[F.col(g).alias(f"__g_{g}") for g in group],
+        F.col(value).alias(name),
+    )
+    same = [F.col(g).eqNullSafe(F.col(f"__g_{g}")) for g in group]
+    cond = same[0]
+    for c in same[1:]:
+        cond = cond & c
+    joined = pos.join(nxt, "__pos", "left")
+    return joined.withColumn(name, F.when(cond, F.col(name))).drop("__pos", *[f"__g_{g}" for g in group])
+
+
 def value_ranks(df: DataFrame, col: str) -> DataFrame:
     """Distinct values of ``col`` with ``cnt`` and cumulative count ``cum``
     (ascending).  Pre-aggregating by value first means a value that holds a

@@ -115,11 +115,22 @@ def p10_array_element(spark, sf):
     )
 
 
-@register("p11_explode", "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem")
+@register(
+    "p11_explode",
+    """SELECT l_orderkey, l_linenumber, 'quantity' AS measure, l_quantity AS amount FROM lineitem
+UNION ALL SELECT l_orderkey, l_linenumber, 'price', l_extendedprice FROM lineitem""",
+)
 def p11_explode(spark, sf):
-    lines = td.table(spark, sf, "lineitem")
-    nested = lines.groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber", "l_partkey")).alias("lines"))
-    return P.explode_structs(nested, ["l_orderkey"], "lines")
+    """Array-of-struct column built per row (no grouping), then one row per struct."""
+    lines = td.table(spark, sf, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.array(
+            F.struct(F.lit("quantity").alias("measure"), F.col("l_quantity").alias("amount")),
+            F.struct(F.lit("price").alias("measure"), F.col("l_extendedprice").alias("amount")),
+        ).alias("measures"),
+    )
+    return P.explode_structs(lines, ["l_orderkey", "l_linenumber"], "measures")
 
 
 SPLIT_SQL = """SELECT o_orderkey,

@@ -7,7 +7,7 @@ reach the Parquet scans because everything stays declarative.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.graph import Graph
@@ -16,7 +16,31 @@ DATE_FMT = "M/d/yyyy H:mm"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+SPREAD_BYTES = 1 << 20
+
+
+def spread(df: DataFrame, bytes_per_task: int = SPREAD_BYTES) -> DataFrame:
+    """Spread an under-partitioned scan over the cores.
+
+    A single large file with one row group scans as one task, which would
+    run every later narrow step (tokenising, exploding, model passes) on one
+    core.  When the scan has fewer partitions than the cluster's default
+    parallelism and holds more than ``bytes_per_task``, rows are dealt
+    round-robin into ``min(parallelism, size / bytes_per_task)`` partitions.
+    Inputs made of many files already have enough partitions and are left
+    untouched, so this costs nothing at scale; filters and column pruning
+    still reach the scan below the repartition.
+    """
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    want = min(target, max(1, size // bytes_per_task))
+    if want <= 1 or df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
 
 
 def trade_graph(spark: SparkSession, sf_dir: str) -> Graph:
@@ -51,21 +75,23 @@ def trade_graph(spark: SparkSession, sf_dir: str) -> Graph:
 def part_chain_graph(spark: SparkSession, sf_dir: str) -> Graph:
     """Parts as vertices; an edge from each line item's part to the part on the
     next line of the same order.  Lines are ordered by all their columns so
-    the edge multiset is deterministic; the window is per order (a handful of
-    rows), never global."""
+    the edge multiset is deterministic.  The next line is found through
+    global positions (``lead_within``), so even an order holding a third of
+    all lines is spread over many tasks."""
+    from quarry.operators.shaping import lead_within
+
     part = table(spark, sf_dir, "part")
     vertices = part.select(F.col("p_partkey").alias("id"), "p_name", "p_size")
     order_cols = [
         "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
         "l_returnflag", "l_linestatus", "l_shipdate",
     ]
-    w = Window.partitionBy("l_orderkey").orderBy(*order_cols)
-    lines = table(spark, sf_dir, "lineitem")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *order_cols)
     edges = (
-        lines.select("l_orderkey", *order_cols)
+        lead_within(lines, ["l_orderkey"], order_cols, "l_partkey", "dst")
         .select(
             F.col("l_partkey").alias("src"),
-            F.lead("l_partkey").over(w).alias("dst"),
+            "dst",
             F.col("l_orderkey").alias("order_key"),
             F.col("l_linenumber").alias("line"),
         )
