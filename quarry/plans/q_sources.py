@@ -170,3 +170,31 @@ def s11_write_table(spark, sf):
     counts = G.edge_counts(td.trade_graph(spark, sf))
     path = stage(spark, sf, "edge_counts_parquet", counts, "parquet", partition_by=["src"])
     return spark.read.parquet(path).select("src", "dst", "count")
+
+
+@register(
+    "s8_read_images",
+    """SELECT vec_id, label, 8 AS width, 8 AS height, 1 AS n_channels,
+  CAST(list_sum(list_transform(embedding[1:64],
+    lambda v: CAST(greatest(0, least(255, floor((CAST(v AS DOUBLE) + 1.0) * 127.5))) AS BIGINT))) AS BIGINT) AS pixel_sum
+FROM embeddings""",
+)
+def s8_read_images(spark, sf):
+    """Images rendered from the embeddings (one folder per label), decoded by
+    Spark's image source; label and id come back from the file path."""
+    from quarry.plans.staging import stage_embedding_images
+
+    root = stage_embedding_images(spark, sf, td.table(spark, sf, "embeddings"))
+    img = S.read_images(spark, root)
+    # byte i of the pixel buffer as a number (the check sums them)
+    pixels = F.expr(
+        "transform(sequence(1, length(image.data)), i -> CAST(conv(hex(substring(image.data, i, 1)), 16, 10) AS BIGINT))"
+    )
+    return img.select(
+        F.regexp_extract("image.origin", r"/(\d+)\.png$", 1).cast("bigint").alias("vec_id"),
+        F.regexp_extract("label", r"label_(\d+)", 1).cast("int").alias("label"),
+        F.col("image.width").alias("width"),
+        F.col("image.height").alias("height"),
+        F.col("image.nChannels").alias("n_channels"),
+        F.aggregate(pixels, F.lit(0).cast("bigint"), lambda a, v: a + v).alias("pixel_sum"),
+    )

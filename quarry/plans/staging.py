@@ -17,3 +17,52 @@ def stage(spark: SparkSession, sf_dir: str, name: str, df: DataFrame, fmt: str,
     path = stage_path(spark, f"{name}-{tag}")
     partition_by = options.pop("partition_by", None)
     return write_table(df, path, fmt=fmt, partition_by=partition_by, **options)
+
+
+def _png_gray(width: int, height: int, pixels: bytes) -> bytes:
+    """Encode 8-bit grayscale pixels (row-major) as a PNG file."""
+    import struct
+    import zlib
+
+    raw = b"".join(b"\x00" + pixels[r * width:(r + 1) * width] for r in range(height))
+
+    def chunk(tag: bytes, data: bytes) -> bytes:
+        return struct.pack(">I", len(data)) + tag + data + struct.pack(">I", zlib.crc32(tag + data) & 0xFFFFFFFF)
+
+    header = struct.pack(">IIBBBBB", width, height, 8, 0, 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", header) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")
+
+
+def stage_embedding_images(spark: SparkSession, sf_dir: str, embeddings: DataFrame, side: int = 8) -> str:
+    """Render each embedding row as a ``side`` x ``side`` grayscale PNG under
+    ``<stage>/images/<label>/<vec_id>.png`` (one folder per class).
+
+    Pixel ``i`` is ``clamp(floor((x_i + 1) * 127.5), 0, 255)`` of the first
+    ``side * side`` values.  Files are written by the tasks themselves
+    (``mapInPandas``), so the rendering is partitioned like the table; a
+    retried task rewrites the same file names.
+    """
+    tag = hashlib.md5(sf_dir.encode()).hexdigest()[:8]
+    root = stage_path(spark, f"images-{tag}")
+    n = side * side
+
+    def write(batches):
+        import numpy as np
+        import pandas as pd
+        from pyarrow import fs as pafs
+
+        filesystem, base = pafs.FileSystem.from_uri(root if "://" in root else "file://" + root)
+        for pdf in batches:
+            for vec_id, label, emb in zip(pdf["vec_id"], pdf["label"], pdf["embedding"]):
+                x = np.asarray(emb, dtype=np.float32)[:n].astype(np.float64)
+                px = np.clip(np.floor((x + 1.0) * 127.5), 0, 255).astype(np.uint8).tobytes()
+                folder = f"{base}/label_{int(label)}"
+                filesystem.create_dir(folder, recursive=True)
+                with filesystem.open_output_stream(f"{folder}/{int(vec_id)}.png") as f:
+                    f.write(_png_gray(side, side, px))
+            yield pd.DataFrame({"written": [len(pdf)]})
+
+    embeddings.select("vec_id", "label", "embedding").mapInPandas(write, "written long").agg(
+        {"written": "sum"}
+    ).collect()
+    return root
