@@ -149,10 +149,17 @@ def parse_motif(pattern: str | Sequence[Term]) -> list[Term]:
     return terms
 
 
+def _is_derived(df: DataFrame) -> bool:
+    """True when the plan joins or aggregates (recomputing it is not a plain scan)."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return "Join" in plan or "Aggregate" in plan or "Window" in plan
+
+
 def find_motif(
     g: Graph,
     pattern: str | Sequence[Term],
     on: Sequence[tuple[str, str, str]] = (),
+    materialize: bool | None = None,
 ) -> DataFrame:
     """Rows matching a motif; one struct column per named vertex and edge.
 
@@ -162,8 +169,19 @@ def find_motif(
     become hash-join keys instead of filters over a larger join.  Negated
     terms (``!(a)-[]->(b)``) become anti joins.  Disconnected patterns are
     refused rather than planned as a cartesian product.
+
+    When the edge table is derived (joins, aggregates) and two or more terms
+    read it, it is checkpointed once so the self-joins read stored edges
+    instead of recomputing the derivation per term (``materialize`` forces
+    either choice).
     """
     terms = parse_motif(pattern)
+    positive = sum(1 for t in terms if not t.negated)
+    if materialize is None:
+        materialize = positive > 1 and _is_derived(g.edges)
+    if materialize:
+        scratch_dir(g.edges.sparkSession)
+        g = Graph(g.vertices, g.edges.checkpoint())
     keys_for: dict[str, set[str]] = {}
     for e1, e2, c in on:
         keys_for.setdefault(e1, set()).add(c)

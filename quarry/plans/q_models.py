@@ -42,7 +42,7 @@ FLAG_CODE = "CASE l_returnflag WHEN 'A' THEN 0.0 WHEN 'N' THEN 1.0 ELSE 2.0 END"
 
 
 def _lines(spark, sf, cols=LINE_FEATURES, label=LABEL_R):
-    df = td.table(spark, sf, "lineitem").withColumn("label", F.expr(label))
+    df = td.table(spark, sf, "lineitem", spread_out=True).withColumn("label", F.expr(label))
     return FE.assemble(df, cols, "features")
 
 
@@ -179,7 +179,7 @@ OLS_BASE = """d AS (SELECT l_quantity AS x, l_extendedprice AS y FROM lineitem),
 
 
 def _ols(spark, sf):
-    df = FE.assemble(td.table(spark, sf, "lineitem").withColumnRenamed("l_extendedprice", "label"),
+    df = FE.assemble(td.table(spark, sf, "lineitem", spread_out=True).withColumnRenamed("l_extendedprice", "label"),
                      ["l_quantity"], "features")
     model = M.linear_regression(df, reg=0.0, elastic_net=0.0, max_iter=100, solver="normal")
     return df, model
@@ -255,7 +255,7 @@ def r2_glm(spark, sf):
 
 
 def _reg_lines(spark, sf):
-    df = td.table(spark, sf, "lineitem").withColumnRenamed("l_extendedprice", "label")
+    df = td.table(spark, sf, "lineitem", spread_out=True).withColumnRenamed("l_extendedprice", "label")
     return FE.assemble(df, ["l_quantity", "l_discount", "l_tax"], "features")
 
 
@@ -389,7 +389,7 @@ def u3_gaussian_mixture(spark, sf):
     "FROM range(10)",
 )
 def u4_lda(spark, sf):
-    docs = TX.tokenize(td.table(spark, sf, "documents"), "text", "tokens")
+    docs = TX.tokenize(td.table(spark, sf, "documents", spread_out=True), "text", "tokens")
     _, counted, vocab = TX.count_vectors(docs, "tokens", "features", vocab_size=500, min_df=1, min_tf=0, binary=True)
     model = U.lda(counted, k=10, max_iter=5)
     n_docs = counted.count()

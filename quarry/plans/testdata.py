@@ -15,8 +15,12 @@ from quarry.operators.graph import Graph
 DATE_FMT = "M/d/yyyy H:mm"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, spread_out: bool = False) -> DataFrame:
+    """A driver table.  ``spread_out`` is for inputs of CPU-heavy narrow work
+    (tokenising, iterative model fits); scans that feed joins or
+    aggregations are left alone because those shuffle anyway."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_out else df
 
 
 SPREAD_BYTES = 1 << 20
@@ -118,7 +122,7 @@ def embedding_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``embeddings`` with a ``features`` vector column (64 doubles)."""
     from pyspark.ml.functions import array_to_vector
 
-    return table(spark, sf_dir, "embeddings").select(
+    return table(spark, sf_dir, "embeddings", spread_out=True).select(
         "vec_id", "label", array_to_vector("embedding").alias("features")
     )
 
