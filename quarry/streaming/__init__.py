@@ -1 +1,9 @@
-"""Applying fitted models to streaming DataFrames."""
+"""Streaming.
+
+The reference contains no streaming job (no ``readStream``, ``writeStream``,
+watermark, window or state), so no streaming operator is defined here.
+Fitted row-wise pipelines (feature transformers, classifiers, regressors)
+apply to a streaming DataFrame unchanged through ``model.transform``; a
+query's ``checkpointLocation`` belongs under the session's shared
+checkpoint folder (``quarry.session.stage_path``).
+"""

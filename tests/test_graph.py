@@ -1,6 +1,4 @@
-import itertools
-import random
-from collections import defaultdict, deque
+from collections import defaultdict
 
 import numpy as np
 import pytest
