@@ -10,6 +10,7 @@ Catalyst turns into a group limit before the shuffle.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -187,8 +188,6 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFram
     aggs = [n.alias("__n")]
     stats = ranks.agg(*aggs).first()
     total = stats["__n"] or 0
-    import math
-
     picks = []
     for i, p in enumerate(probs):
         r = max(1, math.ceil(p * total - 1e-12))

@@ -10,9 +10,6 @@ from quarry.plans import testdata as td
 from quarry.plans.registry import register
 from quarry.plans.sqlparts import PART_CHAIN_EDGES, TRADE_EDGES, with_
 
-R4 = "round({x}, 4) + 0.0"
-
-
 def _r4(c) -> F.Column:
     return F.round(c, 4) + F.lit(0.0)
 

@@ -445,6 +445,23 @@ def c2_als_score(spark, sf):
     return scored.agg(F.count(F.lit(1)).alias("n_scored"), F.count_if(ok).alias("n_finite"))
 
 
+@register(
+    "j4_factor_lookup",
+    with_(*RATING_SETS)
+    + """SELECT count(*)::BIGINT AS n_rows,
+  count(*) FILTER (WHERE userId NOT IN (SELECT userId FROM tr) OR movieId NOT IN (SELECT movieId FROM tr))::BIGINT
+    AS n_unseen
+FROM te""",
+)
+def j4_factor_lookup(spark, sf):
+    """Scoring joins each row to its user and item factors; with the 'nan'
+    cold-start setting a row whose user or item was not trained gets NaN."""
+    train, test = _ratings_split(spark, sf)
+    model = C.als_fit(train, cold_start="nan")
+    scored = C.als_score(model, test)
+    return scored.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.isnan("prediction")).alias("n_unseen"))
+
+
 def _recs_check(recs, key):
     w = Window.partitionBy(key).orderBy("rank")
     steps = recs.withColumn("prev", F.lag("rating").over(w))
@@ -474,6 +491,25 @@ def c4_recommend_for_items(spark, sf):
     return _recs_check(C.recommend_for_items(C.als_fit(train), 10), "movieId")
 
 
+@register(
+    "o5_topic_terms",
+    "SELECT CAST(t.range AS INTEGER) AS topic, CAST(r.range AS INTEGER) AS rank, true AS in_order "
+    "FROM range(10) t, range(3) r",
+)
+def o5_topic_terms(spark, sf):
+    """Top 3 terms per LDA topic, joined back to the vocabulary; weights
+    must not increase with rank."""
+    docs = TX.tokenize(td.table(spark, sf, "documents", spread_out=True), "text", "tokens")
+    _, counted, vocab = TX.count_vectors(docs, "tokens", "features", vocab_size=500, min_df=1, min_tf=0, binary=True)
+    terms = U.topic_terms(U.lda(counted, k=10, max_iter=5), vocab, 3)
+    w = Window.partitionBy("topic").orderBy("rank")
+    return terms.select(
+        F.col("topic").cast("int").alias("topic"),
+        F.col("rank").cast("int").alias("rank"),
+        F.coalesce(F.col("weight") <= F.lag("weight").over(w), F.lit(True)).alias("in_order"),
+    )
+
+
 # ------------------------------------------------------------------ pipelines and tuning
 
 

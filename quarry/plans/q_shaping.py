@@ -383,3 +383,34 @@ def l8_lower_split(spark, sf):
     return td.table(spark, sf, "conversations").select(
         "conv_id", "turn", F.size(L.whitespace_tokens("text")).alias("n_tokens")
     )
+
+
+# ------------------------------------------------------------------ cache and partition control
+
+
+@register(
+    "p13_cache_control",
+    """SELECT 'orders' AS part, count(*)::BIGINT AS n FROM orders
+UNION ALL SELECT 'open', count(*)::BIGINT FROM orders WHERE o_orderstatus = 'O'""",
+)
+def p13_cache_control(spark, sf):
+    """One scan reused by two aggregations inside a persist / unpersist block."""
+    orders = td.table(spark, sf, "orders").select("o_orderstatus")
+    with P.cached(orders) as o:
+        total = o.agg(F.count(F.lit(1)).alias("n")).select(F.lit("orders").alias("part"), "n")
+        open_ = o.where("o_orderstatus = 'O'").agg(F.count(F.lit(1)).alias("n")).select(F.lit("open").alias("part"), "n")
+        rows = total.unionByName(open_).collect()
+    return spark.createDataFrame(rows, "part string, n bigint")
+
+
+@register(
+    "p14_partition_control",
+    "SELECT o_custkey, count(*)::BIGINT AS n_orders, round(sum(o_totalprice), 4) + 0.0 AS total FROM orders GROUP BY 1",
+)
+def p14_partition_control(spark, sf):
+    """Hash-partition on the grouping key first: the aggregation reuses that
+    partitioning (no second exchange); AQE coalesces small partitions."""
+    orders = td.table(spark, sf, "orders").repartition("o_custkey")
+    return orders.groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n_orders"), (F.round(F.sum("o_totalprice"), 4) + 0.0).alias("total")
+    )
