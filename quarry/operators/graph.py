@@ -323,7 +323,7 @@ def pagerank(
     Returns the vertex table with a ``pagerank`` column.
     """
     scratch_dir(g.vertices.sparkSession)
-    ids = g.vertices.select("id").distinct()
+    ids = g.vertices.select("id").distinct().repartition("id").checkpoint()
     n = ids.count()
     pairs = g.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("w"))
     outdeg = pairs.groupBy("src").agg(F.sum("w").alias("__out"))

@@ -37,6 +37,32 @@ def get_session(master: str = "local[*]", app: str = "quarry", **conf: str) -> S
     return spark
 
 
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of input.
+
+    Shuffle partitions start at ``input_bytes / target_partition_bytes``
+    (at least 2 per core) so the largest shuffle of a scan-sized table keeps
+    partitions near the target; AQE then coalesces small ones and splits
+    skewed ones (a partition over 5x the median and 1 GiB), so a key holding
+    a third of the rows does not become one task.  Scan splits stay at
+    128 MiB so tasks fit comfortably in executor memory.  Broadcasts stay
+    behind Spark's size check (64 MiB, measured at run time by AQE).
+    """
+    shuffle = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a private one only if unset.
 

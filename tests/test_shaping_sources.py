@@ -149,3 +149,11 @@ def test_write_table_and_model_roundtrip(spark, tmpdir_path):
     S.save_model(m, os.path.join(tmpdir_path, "m"))
     m2 = S.load_model(StandardScalerModel, os.path.join(tmpdir_path, "m"))
     assert m2.std == m.std
+
+
+def test_cluster_conf_sizes_partitions():
+    from quarry.session import cluster_conf
+
+    conf = cluster_conf(100 * (1 << 40), 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert cluster_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
