@@ -405,7 +405,7 @@ def bfs(
         if not hits.isEmpty():
             found = hits
             break
-        visited = visited.unionByName(nxt).checkpoint()
+        visited = visited.unionByName(nxt)  # a union of checkpointed levels: nothing is rewritten
     if found is None:
         return g.vertices.select(vstruct.alias("from"), vstruct.alias("to")).where(F.lit(False))
 

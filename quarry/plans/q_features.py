@@ -215,7 +215,8 @@ def f13_index_vector(spark, sf):
     "f14_one_hot",
     """WITH lv AS (SELECT p_type, row_number() OVER (ORDER BY count(*) DESC, p_type) - 1 AS idx,
   count(*) OVER () AS k FROM part GROUP BY p_type)
-SELECT p_partkey, CAST(idx AS INTEGER) AS pos, 1.0 AS value FROM part JOIN lv USING (p_type) WHERE idx < k - 1""",
+SELECT p_partkey, CAST(idx AS INTEGER) AS pos, CAST(1.0 AS DOUBLE) AS value FROM part JOIN lv USING (p_type)
+WHERE idx < k - 1""",
 )
 def f14_one_hot(spark, sf):
     _, idx = FE.index_strings(td.table(spark, sf, "part"), "p_type", "type_idx")
@@ -273,7 +274,7 @@ def f16_poly_expand(spark, sf):
     return _flat(FE.poly_expand(df, "raw", "poly", 2), ["p_partkey"], "poly")
 
 
-CHI_LABEL = "CASE l_returnflag WHEN 'A' THEN 0.0 WHEN 'N' THEN 1.0 ELSE 2.0 END"
+CHI_LABEL = "CAST(CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS DOUBLE)"
 
 
 @register(

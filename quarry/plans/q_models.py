@@ -37,8 +37,8 @@ def _r4(c):
 
 
 LINE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-LABEL_R = "CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END"
-FLAG_CODE = "CASE l_returnflag WHEN 'A' THEN 0.0 WHEN 'N' THEN 1.0 ELSE 2.0 END"
+LABEL_R = "CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS DOUBLE)"
+FLAG_CODE = "CAST(CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS DOUBLE)"
 
 
 def _lines(spark, sf, cols=LINE_FEATURES, label=LABEL_R):
@@ -55,7 +55,7 @@ FROM (SELECT {LABEL_R} AS label FROM lineitem) GROUP BY label"""
 
 @register(
     "m1_logistic_regression",
-    f"""SELECT label, count(*)::BIGINT AS n, count(*)::BIGINT AS n_valid, 0.0 AS balance
+    f"""SELECT label, count(*)::BIGINT AS n, count(*)::BIGINT AS n_valid, CAST(0.0 AS DOUBLE) AS balance
 FROM (SELECT {LABEL_R} AS label FROM lineitem) GROUP BY label""",
 )
 def m1_logistic_regression(spark, sf):
@@ -259,7 +259,7 @@ def _reg_lines(spark, sf):
     return FE.assemble(df, ["l_quantity", "l_discount", "l_tax"], "features")
 
 
-@register("r3_decision_tree_regressor", "SELECT count(*)::BIGINT AS n, 0.0 AS balance FROM lineitem")
+@register("r3_decision_tree_regressor", "SELECT count(*)::BIGINT AS n, CAST(0.0 AS DOUBLE) AS balance FROM lineitem")
 def r3_decision_tree_regressor(spark, sf):
     """Leaves predict the mean of their rows, so predictions and labels have equal sums."""
     df = _reg_lines(spark, sf)
@@ -516,7 +516,7 @@ def o5_topic_terms(spark, sf):
 @register(
     "t1_pipeline",
     """SELECT label, count(*)::BIGINT AS n, count(*)::BIGINT AS n_valid
-FROM (SELECT CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END AS label FROM orders) GROUP BY label""",
+FROM (SELECT CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS DOUBLE) AS label FROM orders) GROUP BY label""",
 )
 def t1_pipeline(spark, sf):
     orders = td.table(spark, sf, "orders").withColumn("label", (F.col("o_orderstatus") == "F").cast("double"))

@@ -157,3 +157,25 @@ def test_cluster_conf_sizes_partitions():
     conf = cluster_conf(100 * (1 << 40), 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert cluster_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_lead_within_hot_group_matches_window(spark):
+    from pyspark.sql import Window
+
+    rows = [(0, i, i * 7 % 13) for i in range(300)] + [(g, i, g + i) for g in range(1, 20) for i in range(3)]
+    df = spark.createDataFrame(rows, "g int, o int, v int")
+    got = {(r.g, r.o): r["next"] for r in P.lead_within(df, ["g"], ["o"], "v").collect()}
+    w = Window.partitionBy("g").orderBy("o")
+    ref = {(r.g, r.o): r["next"] for r in df.select("g", "o", F.lead("v").over(w).alias("next")).collect()}
+    assert got == ref
+
+
+def test_vector_entries_sparse_and_dense(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from quarry.operators import features as FE
+
+    df = spark.createDataFrame([(0, Vectors.sparse(6, [1, 4], [2.0, 0.0])), (1, Vectors.dense([0.0, 3.0]))],
+                               ["k", "v"])
+    rows = sorted(tuple(r) for r in FE.explode_vector(df, ["k"], "v", nonzero=True).collect())
+    assert rows == [(0, 1, 2.0), (1, 1, 3.0)]
