@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quarry.functions.scalar import hash_percent
 
