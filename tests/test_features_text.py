@@ -49,6 +49,9 @@ def test_count_vectors_vocabulary_order_and_idf(spark):
     first = weighted.where("doc_id = 0").select(vector_to_array("w")).first()[0]
     assert first[0] == pytest.approx(2 * math.log(4 / 3))
     assert first[1] == pytest.approx(1 * math.log(4 / 3))
+    fast = TX.tf_idf_from_vocabulary(out, "cv", "w2", vocab, df.count())
+    for r in fast.join(weighted.select("doc_id", "w"), "doc_id").collect():
+        assert r.w2.toArray().tolist() == pytest.approx(r.w.toArray().tolist())
 
 
 def test_word2vec_document_mean(spark):
