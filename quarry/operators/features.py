@@ -160,8 +160,16 @@ def one_hot(df: DataFrame, col: str, out: str, drop_last: bool = True) -> DataFr
     return MF.OneHotEncoder(inputCol=col, outputCol=out, dropLast=drop_last).fit(df).transform(df)
 
 
-def fit_pca(df: DataFrame, col: str, k: int) -> MF.PCAModel:
-    """Top-k principal components (covariance of the rows, on the driver: d x d)."""
+MAX_PCA_DIM = 4096
+
+
+def fit_pca(df: DataFrame, col: str, k: int, max_dim: int = MAX_PCA_DIM) -> MF.PCAModel:
+    """Top-k principal components.  The d x d covariance is reduced on the
+    driver, so wider inputs than ``max_dim`` are refused up front."""
+    first = df.select(col).first()
+    dim = len(first[0]) if first is not None else 0
+    if dim > max_dim:
+        raise ValueError(f"PCA on {dim} columns needs a {dim}x{dim} driver matrix; reduce the input first")
     return MF.PCA(k=k, inputCol=col, outputCol="__pca").fit(df)
 
 
@@ -197,16 +205,29 @@ def poly_expand(df: DataFrame, col: str, out: str, degree: int = 2) -> DataFrame
     return MF.PolynomialExpansion(degree=degree, inputCol=col, outputCol=out).transform(df)
 
 
-def chi2_test(df: DataFrame, features: str, label: str) -> DataFrame:
+MAX_CATEGORIES = 10_000
+
+
+def _check_label_cardinality(df: DataFrame, label: str, limit: int) -> None:
+    n = df.agg(F.approx_count_distinct(label, 0.05).alias("n")).first()["n"]
+    if n > limit:
+        raise ValueError(f"label {label!r} has about {n} distinct values; contingency tables are limited to {limit}")
+
+
+def chi2_test(df: DataFrame, features: str, label: str, max_categories: int = MAX_CATEGORIES) -> DataFrame:
     """Pearson's independence test per feature: ``featureIndex, pValue,
-    degreesOfFreedom, statistic`` (one row per feature)."""
+    degreesOfFreedom, statistic`` (one row per feature).  A label with more
+    than ``max_categories`` values (one contingency column each) is refused."""
     from pyspark.ml.stat import ChiSquareTest
 
+    _check_label_cardinality(df, label, max_categories)
     return ChiSquareTest.test(df, features, label, flatten=True)
 
 
-def chi2_select(df: DataFrame, features: str, label: str, k: int, out: str) -> DataFrame:
+def chi2_select(df: DataFrame, features: str, label: str, k: int, out: str,
+                max_categories: int = MAX_CATEGORIES) -> DataFrame:
     """Keep the ``k`` features most dependent on the label (chi-squared)."""
+    _check_label_cardinality(df, label, max_categories)
     sel = MF.UnivariateFeatureSelector(
         featuresCol=features, labelCol=label, outputCol=out, selectionMode="numTopFeatures"
     )

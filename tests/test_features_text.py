@@ -143,3 +143,12 @@ def test_chi2(spark):
     assert stats[0] == pytest.approx(4.0) and stats[1] == pytest.approx(0.0)
     sel = FE.chi2_select(df, "features", "label", 1, "sel")
     assert sel.first().sel.size == 1
+
+
+def test_driver_state_guards(spark):
+    df = spark.createDataFrame([(float(i), Vectors.dense(1.0, 0.0)) for i in range(30)], ["label", "features"])
+    with pytest.raises(ValueError):
+        FE.chi2_test(df, "features", "label", max_categories=10)
+    wide = spark.createDataFrame([(Vectors.dense([0.0] * 9),)], ["features"])
+    with pytest.raises(ValueError):
+        FE.fit_pca(wide, "features", 2, max_dim=8)
