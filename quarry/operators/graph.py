@@ -389,6 +389,7 @@ def bfs(
     levels = [sources.checkpoint()]
     visited = levels[0]
     found = None
+    flagged_targets = targets.select("id", F.lit(True).alias("__t"))
     for k in range(1, max_len + 1):
         nxt = (
             hop.join(levels[-1].withColumnRenamed("id", "src"), "src", "left_semi")
@@ -396,16 +397,19 @@ def bfs(
             .distinct()
             .join(visited, "id", "left_anti")
             .join(known, "id", "left_semi")
+            .join(flagged_targets, "id", "left")
             .checkpoint()
         )
-        if nxt.isEmpty():
+        # one job answers both questions: is the level empty, does it hold a target
+        stats = nxt.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("__t").isNotNull()).alias("hits")).first()
+        if stats["n"] == 0:
             break
-        levels.append(nxt)
-        hits = nxt.join(targets, "id", "left_semi")
-        if not hits.isEmpty():
-            found = hits
+        level = nxt.select("id")
+        levels.append(level)
+        if stats["hits"] > 0:
+            found = nxt.where(F.col("__t").isNotNull()).select("id")
             break
-        visited = visited.unionByName(nxt)  # a union of checkpointed levels: nothing is rewritten
+        visited = visited.unionByName(level)  # a union of checkpointed levels: nothing is rewritten
     if found is None:
         return g.vertices.select(vstruct.alias("from"), vstruct.alias("to")).where(F.lit(False))
 
