@@ -179,3 +179,17 @@ def test_vector_entries_sparse_and_dense(spark):
                                ["k", "v"])
     rows = sorted(tuple(r) for r in FE.explode_vector(df, ["k"], "v", nonzero=True).collect())
     assert rows == [(0, 1, 2.0), (1, 1, 3.0)]
+
+
+def test_read_yearly_mixed_csv_and_json(spark, tmpdir_path):
+    csv_dir, json_dir = os.path.join(tmpdir_path, "csv"), os.path.join(tmpdir_path, "json")
+    os.makedirs(csv_dir)
+    os.makedirs(json_dir)
+    with open(os.path.join(csv_dir, "2014-summary.csv"), "w") as f:
+        f.write('DEST_COUNTRY_NAME,ORIGIN_COUNTRY_NAME,count\n"Bonaire, Sint Eustatius, and Saba",United States,58\n')
+    with open(os.path.join(json_dir, "2015-summary.json"), "w") as f:
+        f.write('{"ORIGIN_COUNTRY_NAME":"Romania","DEST_COUNTRY_NAME":"United States","count":15}\n')
+    schema = "DEST_COUNTRY_NAME string, ORIGIN_COUNTRY_NAME string, count long"
+    df = S.read_yearly_mixed(spark, [("csv", csv_dir), ("json", json_dir)], schema)
+    rows = sorted((r.year, r.DEST_COUNTRY_NAME, r["count"]) for r in df.collect())
+    assert rows == [(2014, "Bonaire, Sint Eustatius, and Saba", 58), (2015, "United States", 15)]
