@@ -516,10 +516,16 @@ def o5_topic_terms(spark, sf):
 
 @register(
     "t1_pipeline",
-    """SELECT label, count(*)::BIGINT AS n, count(*)::BIGINT AS n_valid
-FROM (SELECT CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS DOUBLE) AS label FROM orders) GROUP BY label""",
+    """WITH lv AS (SELECT o_orderpriority, row_number() OVER (ORDER BY count(*) DESC, o_orderpriority) - 1 AS idx
+  FROM orders GROUP BY o_orderpriority)
+SELECT CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS DOUBLE) AS label, count(*)::BIGINT AS n,
+  count(*)::BIGINT AS n_valid, CAST(sum(idx) AS DOUBLE) AS sum_prio_idx
+FROM orders JOIN lv USING (o_orderpriority) GROUP BY 1""",
 )
 def t1_pipeline(spark, sf):
+    """Indexer -> assembler -> logistic regression fitted as one pipeline.
+    The indexer stage is checked exactly (sum of its output per label), the
+    fitted head by the scored-row invariants."""
     orders = td.table(spark, sf, "orders").withColumn("label", (F.col("o_orderstatus") == "F").cast("double"))
     pipe = T.pipeline([
         StringIndexer(inputCol="o_orderpriority", outputCol="prio_idx"),
@@ -527,7 +533,9 @@ def t1_pipeline(spark, sf):
         LogisticRegression(featuresCol="features", labelCol="label"),
     ])
     scored = pipe.fit(orders).transform(orders)
-    return M.scored_invariants(scored, "label", 2)
+    inv = M.scored_invariants(scored, "label", 2)
+    idx = scored.groupBy("label").agg(F.sum("prio_idx").alias("sum_prio_idx"))
+    return inv.join(idx, "label")
 
 
 def _formula_frame(spark, sf):
