@@ -109,3 +109,24 @@ def topic_terms(model: MK.LDAModel, vocabulary: DataFrame, n_terms: int = 3) ->
     flat = topics.select("topic", "rank", F.col("tw.termIndices").alias("index"), F.col("tw.termWeights").alias("weight"))
     vocab = vocabulary.select(F.col("index").cast("int").alias("index"), "term")
     return flat.join(F.broadcast(vocab), "index").select("topic", "rank", "term", "weight")
+
+
+def cluster_centers(spark, model) -> DataFrame:
+    """``(cluster, size, pos, value)``: centres of a (bisecting) k-means fit
+    with the training cluster sizes (k x d rows, model-sized)."""
+    sizes = list(model.summary.clusterSizes) if model.hasSummary else [None] * len(model.clusterCenters())
+    rows = [
+        (i, int(sizes[i]) if sizes[i] is not None else None, j, float(v))
+        for i, c in enumerate(model.clusterCenters())
+        for j, v in enumerate(c)
+    ]
+    return spark.createDataFrame(rows, "cluster int, size bigint, pos int, value double")
+
+
+def mixture_components(model: MK.GaussianMixtureModel) -> DataFrame:
+    """``(component, weight, mean, cov)``: one row per Gaussian (weights sum to 1).
+    The table has k rows (model-sized); components keep the model's order."""
+    rows = model.gaussiansDF.collect()
+    spark = model.gaussiansDF.sparkSession
+    data = [(i, float(w), r["mean"], r["cov"]) for i, (w, r) in enumerate(zip(model.weights, rows))]
+    return spark.createDataFrame(data, ["component", "weight", "mean", "cov"])

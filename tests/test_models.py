@@ -104,8 +104,11 @@ def test_kmeans_gmm_lda(spark):
     assert sum(km.summary.clusterSizes) == 60
     bk = U.bisecting_kmeans(df, k=3)
     assert sum(bk.summary.clusterSizes) == 60
+    assert U.cluster_centers(spark, km).groupBy("cluster").count().count() == 3
     gm = U.gaussian_mixture(df, k=2)
     assert sum(gm.weights) == pytest.approx(1.0)
+    comps = U.mixture_components(gm).collect()
+    assert len(comps) == 2 and sum(r.weight for r in comps) == pytest.approx(1.0)
     docs = spark.createDataFrame([(Vectors.dense([1.0, 0.0, 2.0]),), (Vectors.dense([0.0, 3.0, 1.0]),)], ["features"])
     lda = U.lda(docs, k=2, max_iter=2)
     vocab = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "index int, term string")
