@@ -261,7 +261,7 @@ def o3_limit(spark, sf):
 @register(
     "o4_topk_per_group",
     with_(RATINGS)
-    + """SELECT userId, movieId, round(rating, 4) + 0.0 AS rating, rank FROM (
+    + """SELECT userId, movieId, round(CAST(rating AS DOUBLE), 4) + 0.0 AS rating, CAST(rank AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY userId ORDER BY rating DESC, movieId) AS rank FROM ratings) t
 WHERE rank <= 3""",
 )
