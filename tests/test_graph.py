@@ -144,3 +144,16 @@ def test_bfs_length_zero_and_empty(spark):
     zero = G.bfs(g, "id = 'a'", "id IN ('a', 'b')").collect()
     assert [(r["from"].id, r["to"].id) for r in zero] == [("a", "a")]
     assert G.bfs(g, "id = 'a'", "id = 'c'").count() == 0
+
+
+def test_dangling_edges_and_vertex_subgraph(spark):
+    v = spark.createDataFrame([("a",), ("b",)], "id string")
+    e = spark.createDataFrame([("a", "b"), ("a", "z"), ("y", "b")], "src string, dst string")
+    g = G.Graph(v, e)
+    assert sorted((r.src, r.dst) for r in G.dangling_edges(g).collect()) == [("a", "z"), ("y", "b")]
+    rep = G.edge_report(g).first()
+    assert (rep.n_edges, rep.n_dangling) == (3, 2)
+    sub = G.subgraph(g, "true", vertex_pred="id = 'a' OR id = 'b'")
+    assert [(r.src, r.dst) for r in sub.edges.collect()] == [("a", "b")]
+    counts = {r.kind: r.n for r in G.graph_counts(g).collect()}
+    assert counts == {"vertices": 2, "edges": 3}

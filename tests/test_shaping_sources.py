@@ -193,3 +193,12 @@ def test_read_yearly_mixed_csv_and_json(spark, tmpdir_path):
     df = S.read_yearly_mixed(spark, [("csv", csv_dir), ("json", json_dir)], schema)
     rows = sorted((r.year, r.DEST_COUNTRY_NAME, r["count"]) for r in df.collect())
     assert rows == [(2014, "Bonaire, Sint Eustatius, and Saba", 58), (2015, "United States", 15)]
+
+
+def test_read_binary(spark, tmpdir_path):
+    with open(os.path.join(tmpdir_path, "a.bin"), "wb") as f:
+        f.write(b"\x00\x01\x02")
+    with open(os.path.join(tmpdir_path, "b.txt"), "w") as f:
+        f.write("x")
+    rows = S.read_binary(spark, tmpdir_path, "*.bin").collect()
+    assert len(rows) == 1 and bytes(rows[0].content) == b"\x00\x01\x02" and rows[0].length == 3
