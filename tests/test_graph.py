@@ -157,3 +157,15 @@ def test_dangling_edges_and_vertex_subgraph(spark):
     assert [(r.src, r.dst) for r in sub.edges.collect()] == [("a", "b")]
     counts = {r.kind: r.n for r in G.graph_counts(g).collect()}
     assert counts == {"vertices": 2, "edges": 3}
+
+
+def test_timed_cycles_with_trip_table_column_names(spark):
+    rows = [
+        ("a", "b", "1", "8/6/2013 9:00", "8/6/2013 9:30"),
+        ("b", "c", "1", "8/6/2013 10:00", "8/6/2013 10:30"),
+        ("c", "a", "1", "8/6/2013 11:00", "8/6/2013 11:45"),
+    ]
+    v = spark.createDataFrame([("a",), ("b",), ("c",)], "id string")
+    e = spark.createDataFrame(rows, "src string, dst string, `Bike #` string, `Start Date` string, `End Date` string")
+    out = G.timed_cycles(G.Graph(v, e), item="Bike #", start="Start Date", end="End Date").collect()
+    assert [(r.a_id, r.ab_start, r.ca_end, r.elapsed_s) for r in out] == [("a", "8/6/2013 9:00", "8/6/2013 11:45", 7200)]
