@@ -27,6 +27,9 @@ def test_tokenizers(spark):
     assert rt[0] == ["red", "heart"]
     words = [r.tk for r in TX.regex_tokenize(df, "t", "tk", pattern=r"\w+", gaps=False).collect()]
     assert words[1] == ["two", "words"]
+    nulls = spark.createDataFrame([("A b",), (None,)], "t string")
+    assert [r.tk for r in TX.tokenize(nulls, "t", "tk").collect()] == [["a", "b"], None]
+    assert [r.tk for r in TX.regex_tokenize(nulls, "t", "tk").collect()] == [["a", "b"], None]
 
 
 def test_stop_words_and_ngrams(spark):
