@@ -39,6 +39,9 @@ def test_stop_words_and_ngrams(spark):
     assert kept[0] == ["red", "heart"]
     grams = [r.g for r in TX.ngrams(df, "tk", "g", 2).collect()]
     assert grams[0] == ["the red", "red And", "And heart"] and grams[1] == []
+    nulls = spark.createDataFrame([(["a", "the"],), (None,)], "tk array<string>")
+    assert [r.k for r in TX.remove_stop_words(nulls, "tk", "k").collect()] == [[], None]  # 'a', 'the' are stop words
+    assert [r.g for r in TX.ngrams(nulls, "tk", "g", 2).collect()] == [["a the"], None]
 
 
 def test_count_vectors_vocabulary_order_and_idf(spark):
