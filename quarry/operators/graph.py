@@ -149,17 +149,11 @@ def parse_motif(pattern: str | Sequence[Term]) -> list[Term]:
     return terms
 
 
-def _is_derived(df: DataFrame) -> bool:
-    """True when the plan joins or aggregates (recomputing it is not a plain scan)."""
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    return "Join" in plan or "Aggregate" in plan or "Window" in plan
-
-
 def find_motif(
     g: Graph,
     pattern: str | Sequence[Term],
     on: Sequence[tuple[str, str, str]] = (),
-    materialize: bool | None = None,
+    materialize: bool = False,
 ) -> DataFrame:
     """Rows matching a motif; one struct column per named vertex and edge.
 
@@ -170,15 +164,11 @@ def find_motif(
     terms (``!(a)-[]->(b)``) become anti joins.  Disconnected patterns are
     refused rather than planned as a cartesian product.
 
-    When the edge table is derived (joins, aggregates) and two or more terms
-    read it, it is checkpointed once so the self-joins read stored edges
-    instead of recomputing the derivation per term (``materialize`` forces
-    either choice).
+    ``materialize`` checkpoints the edge table once before the self-joins;
+    use it when the edges are derived (joins, aggregates) and several terms
+    read them, so the derivation is not recomputed per term.
     """
     terms = parse_motif(pattern)
-    positive = sum(1 for t in terms if not t.negated)
-    if materialize is None:
-        materialize = positive > 1 and _is_derived(g.edges)
     if materialize:
         scratch_dir(g.edges.sparkSession)
         g = Graph(g.vertices, g.edges.checkpoint())
@@ -270,13 +260,16 @@ def timed_cycles(
     start: str = "start_date",
     end: str = "end_date",
     fmt: str = "M/d/yyyy H:mm",
+    materialize: bool = True,
 ) -> DataFrame:
     """3-cycles a->b->c->a ridden by one item with strictly increasing start times.
 
     Requires ``a != b`` and ``b != c`` (``a != c`` is not required), the same
     ``item`` on all three edges and ``start(ab) < start(bc) < start(ca)``;
     shortest elapsed time first.  The item is a join key of both edge joins,
-    so the plan never forms the item-free 3-cycle product.
+    so the plan never forms the item-free 3-cycle product.  The projected
+    edge table (five columns and the parsed start time) is checkpointed once
+    for the three self-joins unless ``materialize`` is False.
     """
     edges = g.edges.select(
         "src", "dst", item, start, end, parse_timestamp(F.col(start), fmt).alias("__start_ts")
@@ -285,6 +278,7 @@ def timed_cycles(
         Graph(g.vertices.select("id"), edges),
         "(a)-[ab]->(b); (b)-[bc]->(c); (c)-[ca]->(a)",
         on=[("ab", "bc", item), ("bc", "ca", item)],
+        materialize=materialize,
     )
     elapsed = epoch_seconds(F.col("ca.__start_ts")) - epoch_seconds(F.col("ab.__start_ts"))
     return (

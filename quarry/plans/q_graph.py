@@ -80,7 +80,7 @@ SELECT ab.src AS a_id, bc.src AS b_id, ca.src AS c_id, ab.cnt AS ab_count, bc.cn
 FROM ec ab JOIN ec bc ON ab.dst = bc.src JOIN ec ca ON bc.dst = ca.src AND ca.dst = ab.src""",
 )
 def g5_find_motif(spark, sf):
-    m = G.find_motif(_count_graph(spark, sf), "(a)-[ab]->(b); (b)-[bc]->(c); (c)-[ca]->(a)")
+    m = G.find_motif(_count_graph(spark, sf), "(a)-[ab]->(b); (b)-[bc]->(c); (c)-[ca]->(a)", materialize=True)
     return m.select(
         F.col("a.id").alias("a_id"),
         F.col("b.id").alias("b_id"),
@@ -102,7 +102,7 @@ WHERE NOT EXISTS (SELECT 1 FROM ec x WHERE x.src = bc.dst AND x.dst = ab.src)"""
 def j2_motif_negated(spark, sf):
     cg = _count_graph(spark, sf)
     heavy = G.subgraph(cg, "count >= 100")
-    m = G.find_motif(heavy, "(a)-[ab]->(b); (b)-[bc]->(c); !(c)-[]->(a)")
+    m = G.find_motif(heavy, "(a)-[ab]->(b); (b)-[bc]->(c); !(c)-[]->(a)", materialize=True)
     return m.select(
         F.col("a.id").alias("a_id"),
         F.col("b.id").alias("b_id"),

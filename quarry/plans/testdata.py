@@ -23,28 +23,21 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread_out: bool = False)
     return spread(df) if spread_out else df
 
 
-SPREAD_BYTES = 1 << 20
-
-
-def spread(df: DataFrame, bytes_per_task: int = SPREAD_BYTES) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Spread an under-partitioned scan over the cores.
 
     A single large file with one row group scans as one task, which would
     run every later narrow step (tokenising, exploding, model passes) on one
     core.  When the scan has fewer partitions than the cluster's default
-    parallelism and holds more than ``bytes_per_task``, rows are dealt
-    round-robin into ``min(parallelism, size / bytes_per_task)`` partitions.
+    parallelism, rows are dealt round-robin into that many partitions.
     Inputs made of many files already have enough partitions and are left
     untouched, so this costs nothing at scale; filters and column pruning
     still reach the scan below the repartition.
     """
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    want = min(target, max(1, size // bytes_per_task))
-    if want <= 1 or df.rdd.getNumPartitions() >= want:
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(want)
+    return df.repartition(target)
 
 
 def trade_graph(spark: SparkSession, sf_dir: str) -> Graph:
