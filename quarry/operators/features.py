@@ -38,10 +38,25 @@ def vector_entries(col: str) -> Column:
     return F.filter(entries, lambda e: e.getField("value") != 0)
 
 
+DENSE_FLATTEN_MAX = 4096
+
+
+def vector_size(df: DataFrame, col: str) -> int | None:
+    """Size of a vector column from its ML attribute metadata, else from the first row."""
+    attrs = df.schema[col].metadata.get("ml_attr", {})
+    if "num_attrs" in attrs:
+        return int(attrs["num_attrs"])
+    first = df.select(col).first()
+    return None if first is None or first[0] is None else len(first[0])
+
+
 def explode_vector(df: DataFrame, keys: Sequence[str], col: str, nonzero: bool = False) -> DataFrame:
-    """``(keys..., pos, value)`` rows of a vector or array column; with
-    ``nonzero`` only stored non-zero entries (no dense expansion)."""
-    if nonzero and _is_vector(df, col):
+    """``(keys..., pos, value)`` rows of a vector or array column.  With
+    ``nonzero``, narrow vectors are expanded densely and filtered (cheapest
+    for a few thousand positions); wider ones are read from their stored
+    entries, so cost follows the non-zeros, not the width."""
+    wide = nonzero and _is_vector(df, col) and (vector_size(df, col) or 0) > DENSE_FLATTEN_MAX
+    if wide:
         return df.select(*keys, F.inline(vector_entries(col))).select(
             *keys, F.col("pos").cast("int").alias("pos"), "value"
         )

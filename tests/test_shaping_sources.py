@@ -179,6 +179,13 @@ def test_vector_entries_sparse_and_dense(spark):
                                ["k", "v"])
     rows = sorted(tuple(r) for r in FE.explode_vector(df, ["k"], "v", nonzero=True).collect())
     assert rows == [(0, 1, 2.0), (1, 1, 3.0)]
+    saved = FE.DENSE_FLATTEN_MAX
+    try:
+        FE.DENSE_FLATTEN_MAX = 0  # force the stored-entries path
+        wide = sorted(tuple(r) for r in FE.explode_vector(df, ["k"], "v", nonzero=True).collect())
+    finally:
+        FE.DENSE_FLATTEN_MAX = saved
+    assert wide == rows
 
 
 def test_read_yearly_mixed_csv_and_json(spark, tmpdir_path):
