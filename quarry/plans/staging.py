@@ -19,20 +19,6 @@ def stage(spark: SparkSession, sf_dir: str, name: str, df: DataFrame, fmt: str,
     return write_table(df, path, fmt=fmt, partition_by=partition_by, **options)
 
 
-def _png_gray(width: int, height: int, pixels: bytes) -> bytes:
-    """Encode 8-bit grayscale pixels (row-major) as a PNG file."""
-    import struct
-    import zlib
-
-    raw = b"".join(b"\x00" + pixels[r * width:(r + 1) * width] for r in range(height))
-
-    def chunk(tag: bytes, data: bytes) -> bytes:
-        return struct.pack(">I", len(data)) + tag + data + struct.pack(">I", zlib.crc32(tag + data) & 0xFFFFFFFF)
-
-    header = struct.pack(">IIBBBBB", width, height, 8, 0, 0, 0, 0)
-    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", header) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")
-
-
 def stage_embedding_images(spark: SparkSession, sf_dir: str, embeddings: DataFrame, side: int = 8) -> str:
     """Render each embedding row as a ``side`` x ``side`` grayscale PNG under
     ``<stage>/images/<label>/<vec_id>.png`` (one folder per class).
@@ -46,11 +32,28 @@ def stage_embedding_images(spark: SparkSession, sf_dir: str, embeddings: DataFra
     root = stage_path(spark, f"images-{tag}")
     n = side * side
 
+    # The task function is self-contained (stdlib, numpy, pandas, pyarrow only),
+    # so executors need not import this package.
     def write(batches):
+        import struct
+        import zlib
+
         import numpy as np
         import pandas as pd
         from pyarrow import fs as pafs
 
+        def _png_gray(width: int, height: int, pixels: bytes) -> bytes:
+            """Encode 8-bit grayscale pixels (row-major) as a PNG file."""
+            raw = b"".join(b"\x00" + pixels[r * width:(r + 1) * width] for r in range(height))
+
+            def chunk(tag: bytes, data: bytes) -> bytes:
+                crc = zlib.crc32(tag + data) & 0xFFFFFFFF
+                return struct.pack(">I", len(data)) + tag + data + struct.pack(">I", crc)
+
+            header = struct.pack(">IIBBBBB", width, height, 8, 0, 0, 0, 0)
+            return (b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", header) + chunk(b"IDAT", zlib.compress(raw))
+                    + chunk(b"IEND", b""))
+
         filesystem, base = pafs.FileSystem.from_uri(root if "://" in root else "file://" + root)
         for pdf in batches:
             for vec_id, label, emb in zip(pdf["vec_id"], pdf["label"], pdf["embedding"]):
