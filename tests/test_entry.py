@@ -19,7 +19,7 @@ TABLES = (
 ).split()
 SAMPLE = [
     "g3_edge_counts", "g7_pagerank", "g11_bfs", "p12_split_rows", "a5_quantiles", "f1_rformula", "x1_tokenize",
-    "x5_count_vectors", "e1_binary_metrics", "m5_naive_bayes", "u1_lloyd", "s5_read_delimited",
+    "x5_count_vectors", "e1_binary_metrics", "m5_naive_bayes", "u1_lloyd", "s5_read_delimited", "s8_read_images",
 ]
 
 
