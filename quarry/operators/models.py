@@ -122,7 +122,8 @@ def gbt_regressor(df: DataFrame, features="features", label="label", max_iter=20
     return MR.GBTRegressor(featuresCol=features, labelCol=label, maxIter=max_iter, seed=seed).fit(df)
 
 
-def scored_invariants(scored: DataFrame, label: str = "label", num_classes: int | None = None) -> DataFrame:
+def scored_invariants(scored: DataFrame, label: str = "label", num_classes: int | None = None,
+                      extra: list | None = None) -> DataFrame:
     """Per label: ``n`` rows and ``n_valid`` rows whose prediction is a known
     class and, when present, whose probability vector sums to 1 and peaks at
     the prediction."""
@@ -137,5 +138,5 @@ def scored_invariants(scored: DataFrame, label: str = "label", num_classes: int
         peak = F.element_at(prob, (F.col("prediction") + 1).cast("int"))
         ok = ok & (F.abs(total - 1.0) < 1e-6) & (peak >= F.array_max(prob) - 1e-12)
     return scored.groupBy(F.col(label).alias("label")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(ok).alias("n_valid")
+        F.count(F.lit(1)).alias("n"), F.count_if(ok).alias("n_valid"), *(extra or [])
     )
