@@ -23,6 +23,7 @@ _LOCAL_DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.driver.memory": "16g",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -60,6 +61,7 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
         "spark.sql.files.maxPartitionBytes": str(128 << 20),
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
 
 
