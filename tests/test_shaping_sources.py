@@ -209,3 +209,12 @@ def test_read_binary(spark, tmpdir_path):
         f.write("x")
     rows = S.read_binary(spark, tmpdir_path, "*.bin").collect()
     assert len(rows) == 1 and bytes(rows[0].content) == b"\x00\x01\x02" and rows[0].length == 3
+
+
+def test_scratch_dir_uses_session_checkpoint_dir(spark):
+    from quarry.session import scratch_dir, stage_path
+
+    preset = spark.sparkContext.getCheckpointDir()
+    assert preset is not None  # conftest sets spark.checkpoint.dir
+    assert scratch_dir(spark) == preset.removeprefix("file:")
+    assert stage_path(spark, "x").startswith(preset.removeprefix("file:"))
