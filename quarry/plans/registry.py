@@ -15,14 +15,20 @@ from pyspark.sql import DataFrame, SparkSession
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str | Callable[[], str]] = {}
 
 
-def register(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
+def register(name: str, sql: str | Callable[[], str] | None = None) -> Callable[[QueryFn], QueryFn]:
+    """Register a query and its oracle (a statement, or a callable that builds
+    it when asked).  Registering a name again replaces it when it comes from
+    the same module (a repeated import); another module may not take it."""
+
     def deco(fn: QueryFn) -> QueryFn:
-        if name in QUERIES:
-            raise ValueError(f"duplicate query {name}")
+        old = QUERIES.get(name)
+        if old is not None and old.__module__ != fn.__module__:
+            raise ValueError(f"duplicate query {name}: {old.__module__} and {fn.__module__}")
         QUERIES[name] = fn
+        ORACLES.pop(name, None)
         if sql is not None:
             ORACLES[name] = sql
         return fn
@@ -30,6 +36,11 @@ def register(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
     return deco
 
 
+def oracles() -> dict[str, str]:
+    """Every oracle statement, built now where it is lazy."""
+    return {name: sql() if callable(sql) else sql for name, sql in ORACLES.items()}
+
+
 def load_all() -> None:
     """Import every module that registers queries."""
     from quarry.plans import (  # noqa: F401

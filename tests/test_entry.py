@@ -68,3 +68,27 @@ def test_query_matches_oracle(spark, duck, name):
     d_rows = res.fetchall()
     assert sorted(sdf.columns) == sorted(d_cols)
     assert _bag(sdf.columns, s_rows) == _bag(d_cols, d_rows)
+
+
+def test_registry_loads_without_a_session_or_spark_files(monkeypatch):
+    """Loading reads no file and asks no JVM, and a second load is harmless."""
+    import glob
+    import importlib
+
+    from pyspark import SparkContext
+
+    from quarry.plans import q_text, registry
+
+    monkeypatch.setattr(glob, "glob", lambda *a, **k: [])
+    monkeypatch.setattr(SparkContext, "_gateway", None)
+    before = set(entry.queries())
+    importlib.reload(q_text)
+    assert set(entry.queries()) == before
+    assert set(registry.oracles()) <= before
+
+
+def test_register_refuses_a_name_of_another_module():
+    from quarry.plans.registry import register
+
+    with pytest.raises(ValueError, match="duplicate query"):
+        register("x1_tokenize")(lambda spark, sf: None)

@@ -33,7 +33,7 @@ def test_tokenizers(spark):
 
 
 def test_stop_words_and_ngrams(spark):
-    assert len(TX.default_stop_words("english")) == 181
+    assert {"the", "and", "of"} <= set(TX.default_stop_words("english"))
     df = spark.createDataFrame([(["the", "red", "And", "heart"],), (["one"],)], "tk array<string>")
     kept = [r.k for r in TX.remove_stop_words(df, "tk", "k").collect()]
     assert kept[0] == ["red", "heart"]
