@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, mixing
+from quarry.llm import chat, mixing, simhash
 from quarry.llm.common import table
 from quarry.llm.sql import ORACLES
 
@@ -32,7 +32,15 @@ def op8_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.expand(turns.unionByName(planted)))
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op2_mix_sources, op8_chat_prefix_targets)}
+def op10_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and group of every document: three-word shingles, three bits."""
+    groups = simhash.near_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+QUERIES: dict[str, QueryFn] = {
+    f.__name__: f for f in (op2_mix_sources, op8_chat_prefix_targets, op10_simhash_groups)
+}
 
 
 def queries() -> dict[str, QueryFn]:
