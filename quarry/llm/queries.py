@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import chat, mixing, simhash
-from quarry.llm.common import table
+from quarry.llm import bpe, chat, mixing, packing, simhash, token_counts
+from quarry.llm.common import scratch, table
 from quarry.llm.sql import ORACLES
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,23 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
+#: Vocabulary of the token queries.
+VOCABULARY = "byte_bpe_50k.json"
+
+
+def op3_pack_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of at most 1024 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), bpe.locator(VOCABULARY))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document, through a cache that starts empty (each run must encode the whole table)."""
+    counts = token_counts.count_tokens(
+        table(spark, sf_dir, "documents"), scratch(spark, "token-cache"), bpe.locator(VOCABULARY)
+    )
+    return counts.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
 def op8_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every conversation, and of conversation -7, read back from its examples."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -39,7 +56,8 @@ def op10_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {
-    f.__name__: f for f in (op2_mix_sources, op8_chat_prefix_targets, op10_simhash_groups)
+    f.__name__: f
+    for f in (op2_mix_sources, op3_pack_best_fit, op4_token_counts, op8_chat_prefix_targets, op10_simhash_groups)
 }
 
 
