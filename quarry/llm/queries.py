@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, chat, embeddings, mixing, packing, simhash, token_counts
+from quarry.llm import bpe, chat, embeddings, fingerprints, mixing, packing, simhash, token_counts
 from quarry.llm.common import scratch, table
 from quarry.llm.sql import ORACLES
 
@@ -39,6 +39,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they are."""
+    return fingerprints.compare(table(spark, sf_dir, "documents"))
+
+
 def op6_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and group of every vector among those of its label, cosine 0.98."""
     return embeddings.near_groups(table(spark, sf_dir, "embeddings"))
@@ -62,7 +67,8 @@ def op10_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, QueryFn] = {
     f.__name__: f
-    for f in (op2_mix_sources, op3_pack_best_fit, op4_token_counts, op6_embedding_groups, op8_chat_prefix_targets, op10_simhash_groups)
+    for f in (op2_mix_sources, op3_pack_best_fit, op4_token_counts, op5_document_fingerprints, op6_embedding_groups,
+              op8_chat_prefix_targets, op10_simhash_groups)
 }
 
 
