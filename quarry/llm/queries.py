@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, chat, embeddings, fingerprints, mixing, packing, simhash, token_counts
+from quarry.llm import bpe, chat, embeddings, fingerprints, mixing, packing, quality, simhash, token_counts
 from quarry.llm.common import scratch, table
 from quarry.llm.sql import ORACLES
 
@@ -49,6 +49,16 @@ def op6_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_groups(table(spark, sf_dir, "embeddings"))
 
 
+def op7_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the labels outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op8_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every conversation, and of conversation -7, read back from its examples."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -68,7 +78,7 @@ def op10_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, QueryFn] = {
     f.__name__: f
     for f in (op2_mix_sources, op3_pack_best_fit, op4_token_counts, op5_document_fingerprints, op6_embedding_groups,
-              op8_chat_prefix_targets, op10_simhash_groups)
+              op7_quality_scores, op8_chat_prefix_targets, op10_simhash_groups)
 }
 
 
