@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, chat, embeddings, fingerprints, mixing, packing, quality, simhash, token_counts
+import corpus_pipeline
+from quarry.llm import bpe, chat, embeddings, fingerprints, lines, mixing, packing, quality, simhash, token_counts
 from quarry.llm.common import scratch, table
 from quarry.llm.sql import ORACLES
 
@@ -69,16 +70,30 @@ def op8_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.expand(turns.unionByName(planted)))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the lines that stay, and how many lines it had and lost."""
+    rows, names = lines.with_kept_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select(
+        "doc_id", F.col(names["lines"]).alias("n_lines"), F.col(names["dropped"]).alias("n_dropped"),
+        F.coalesce(names["kept"], F.lit("")).alias("text"),
+    )
+
+
 def op10_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of every document: three-word shingles, three bits."""
     groups = simhash.near_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline over the whole table."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, QueryFn] = {
     f.__name__: f
     for f in (op2_mix_sources, op3_pack_best_fit, op4_token_counts, op5_document_fingerprints, op6_embedding_groups,
-              op7_quality_scores, op8_chat_prefix_targets, op10_simhash_groups)
+              op7_quality_scores, op8_chat_prefix_targets, op9_line_dedup, op10_simhash_groups, pipeline)
 }
 
 
@@ -87,4 +102,6 @@ def queries() -> dict[str, QueryFn]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    """DuckDB statements of the queries that SQL can express."""
+    own = corpus_pipeline.ORACLE_SQL
+    return {**ORACLES, **({"pipeline": own} if own else {})}
