@@ -9,13 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quarry.llm import bpe, chat, embeddings, fingerprints, lines, mixing, packing, quality, simhash, token_counts
+from quarry.llm import bpe, chat, embeddings, fingerprints, html, lines, mixing, packing, quality, simhash, token_counts
 from quarry.llm.common import scratch, table
 from quarry.llm.sql import ORACLES
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_extract_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, by the wrapper of its host."""
+    found = html.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document; copies are whole."""
     planned = mixing.plan(table(spark, sf_dir, "documents"))
@@ -92,7 +98,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, QueryFn] = {
     f.__name__: f
-    for f in (op2_mix_sources, op3_pack_best_fit, op4_token_counts, op5_document_fingerprints, op6_embedding_groups,
+    for f in (op1_extract_html, op2_mix_sources, op3_pack_best_fit, op4_token_counts, op5_document_fingerprints, op6_embedding_groups,
               op7_quality_scores, op8_chat_prefix_targets, op9_line_dedup, op10_simhash_groups, pipeline)
 }
 
