@@ -7,7 +7,6 @@ functions  column-expression helpers (casts, ratios, timestamps, hash splits)
 operators  shaping, graph, features, text, models, clustering, recommendation,
            tuning and evaluation operators; every one takes and returns DataFrames
 plans      inputs derived from the driver tables and plan inspection helpers
-streaming  applying fitted row-wise models to streaming DataFrames
 """
 
 from quarry.session import get_session, scratch_dir

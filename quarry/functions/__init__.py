@@ -3,7 +3,9 @@
 from quarry.functions.scalar import (
     array_element,
     epoch_seconds,
+    hash_number,
     hash_percent,
+    hash_share,
     parse_timestamp,
     ratio,
     safe_cast,
@@ -14,7 +16,9 @@ from quarry.functions.scalar import (
 __all__ = [
     "array_element",
     "epoch_seconds",
+    "hash_number",
     "hash_percent",
+    "hash_share",
     "parse_timestamp",
     "ratio",
     "safe_cast",

@@ -60,12 +60,22 @@ def whitespace_tokens(c: ColumnOrName) -> Column:
     return F.split(F.lower(_col(c)), r"\s")
 
 
-def hash_percent(key: ColumnOrName, seed: int = 0) -> Column:
-    """Deterministic bucket 0..99 from the key.
-
-    First 7 hex digits of ``md5(seed || ':' || key)`` read as a number, modulo
-    100.  The value depends only on the key, so a split built on it survives
-    repartitioning and executor loss, and SQL engines can recompute it.
+def hash_number(key: ColumnOrName, seed: int = 0, digit: int = 1) -> Column:
+    """Deterministic number of 28 bits from the key: 7 hex digits of
+    ``md5(seed || ':' || key)`` from ``digit`` on.  The value depends only on
+    the key, so a split built on it survives repartitioning and executor loss,
+    and SQL engines can recompute it.
     """
     text = F.concat(F.lit(f"{seed}:"), _col(key).cast("string"))
-    return (F.conv(F.substring(F.md5(text), 1, 7), 16, 10).cast("bigint") % 100).cast("int")
+    return F.conv(F.substring(F.md5(text), digit, 7), 16, 10).cast("bigint")
+
+
+def hash_percent(key: ColumnOrName, seed: int = 0) -> Column:
+    """Deterministic bucket 0..99: ``hash_number`` modulo 100."""
+    return (hash_number(key, seed) % 100).cast("int")
+
+
+def hash_share(key: ColumnOrName, seed: int = 0) -> Column:
+    """Deterministic percentage in [0, 100): ``hash_percent`` and, from the
+    next 7 digits, a fraction in steps of 2**-28."""
+    return hash_percent(key, seed) + hash_number(key, seed, 8) / float(1 << 28)

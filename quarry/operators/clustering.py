@@ -108,7 +108,7 @@ def topic_terms(model: MK.LDAModel, vocabulary: DataFrame, n_terms: int = 3) ->
     )
     flat = topics.select("topic", "rank", F.col("tw.termIndices").alias("index"), F.col("tw.termWeights").alias("weight"))
     vocab = vocabulary.select(F.col("index").cast("int").alias("index"), "term")
-    return flat.join(F.broadcast(vocab), "index").select("topic", "rank", "term", "weight")
+    return flat.join(vocab, "index").select("topic", "rank", "term", "weight")
 
 
 def cluster_centers(spark, model) -> DataFrame:

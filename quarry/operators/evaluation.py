@@ -3,7 +3,7 @@
 Binary metrics are exact: scores are grouped, ranked with distributed
 running sums (no single-partition sort), and each score group contributes
 its trapezoid to one global sum.  Regression metrics are one aggregation
-over the scored rows plus one for the label mean; no RDD detour.
+over the scored rows; no RDD detour.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from quarry.operators.shaping import global_cumsums
 def binary_metrics(df: DataFrame, score: str = "rawPrediction", label: str = "label") -> DataFrame:
     """One row: ``areaUnderROC``, ``areaUnderPR``, exact (every distinct
     score is a threshold; ties form one step).  A vector score uses its
-    last element (the positive-class score)."""
+    last element (the positive-class score).  An area that needs a class
+    which has no row is null."""
     dtype = type(df.schema[score].dataType).__name__
     if dtype == "VectorUDT":
         from pyspark.ml.functions import vector_to_array
@@ -29,15 +30,18 @@ def binary_metrics(df: DataFrame, score: str = "rawPrediction", label: str = "la
         F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")
     )
     ranked = global_cumsums(groups, [F.col("s").desc()], {"tp": "pos", "fp": "neg"})
-    totals = groups.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
-    p_all, n_all = float(totals["P"] or 0), float(totals["N"] or 0)
     tp, fp = F.col("tp").cast("double"), F.col("fp").cast("double")
     tp0, fp0 = tp - F.col("pos"), fp - F.col("neg")
     prec = tp / (tp + fp)
     prec0 = F.when(tp0 + fp0 > 0, tp0 / (tp0 + fp0)).otherwise(prec)
-    roc_piece = (fp - fp0) / F.lit(n_all) * (tp + tp0) / F.lit(2.0 * p_all)
-    pr_piece = (tp - tp0) / F.lit(p_all) * (prec + prec0) / 2.0
-    return ranked.agg(F.sum(roc_piece).alias("areaUnderROC"), F.sum(pr_piece).alias("areaUnderPR"))
+    # areas in counts; the totals are the last running sums, so one pass does
+    sums = ranked.agg(
+        F.sum((fp - fp0) * (tp + tp0) / 2.0).alias("roc"), F.sum((tp - tp0) * (prec + prec0) / 2.0).alias("pr"),
+        F.max(tp).alias("p"), F.max(fp).alias("n"),
+    )
+    return sums.select(
+        F.try_divide("roc", F.col("p") * F.col("n")).alias("areaUnderROC"), F.try_divide("pr", "p").alias("areaUnderPR")
+    )
 
 
 def multiclass_accuracy(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
@@ -54,22 +58,20 @@ def rmse(df: DataFrame, prediction: str = "prediction", label: str = "label") ->
 
 def regression_metrics(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
     """One row: ``mse, rmse, r2, mae, explained_variance, n``.  Explained
-    variance is ``mean((prediction - mean(label))^2)``."""
+    variance is ``mean((prediction - mean(label))^2)``; ``r2`` of a constant
+    label is null."""
     p, y = F.col(prediction).cast("double"), F.col(label).cast("double")
-    mean_y = df.agg(F.avg(y)).first()[0]
     err = p - y
+    # sums of squares around the label mean follow from the moments of the same pass
     stats = df.agg(
-        F.avg(err * err).alias("mse"),
-        F.avg(F.abs(err)).alias("mae"),
-        F.sum(err * err).alias("sse"),
-        F.sum((y - F.lit(mean_y)) * (y - F.lit(mean_y))).alias("sst"),
-        F.avg((p - F.lit(mean_y)) * (p - F.lit(mean_y))).alias("explained_variance"),
+        F.avg(err * err).alias("mse"), F.avg(F.abs(err)).alias("mae"), F.var_pop(y).alias("var_y"),
+        (F.var_pop(p) + (F.avg(p) - F.avg(y)) * (F.avg(p) - F.avg(y))).alias("explained_variance"),
         F.count(F.lit(1)).alias("n"),
     )
     return stats.select(
         "mse",
         F.sqrt("mse").alias("rmse"),
-        (1 - F.col("sse") / F.col("sst")).alias("r2"),
+        (1 - F.try_divide("mse", "var_y")).alias("r2"),
         "mae",
         "explained_variance",
         "n",

@@ -20,43 +20,21 @@ from pyspark.sql import functions as F
 from quarry.operators.shaping import exact_quantiles
 
 
-_VECTOR_STRUCT = "struct<v:struct<type:tinyint,size:int,indices:array<int>,values:array<double>>>"
-
-
 def vector_entries(col: str) -> Column:
-    """Non-zero entries of a vector column as ``array<struct<pos, value>>``.
-
-    Reads the vector's own storage (sparse: indices and values; dense: values)
-    through its JSON form, so the cost follows the stored entries, not the
-    vector size: a 262,144-term count vector with 40 terms yields 40 entries
-    without building a dense array.
-    """
-    v = F.from_json(F.to_json(F.struct(F.col(col).alias("v"))), _VECTOR_STRUCT).getField("v")
-    sparse = F.arrays_zip(v.getField("indices").alias("pos"), v.getField("values").alias("value"))
-    dense = F.transform(v.getField("values"), lambda x, i: F.struct(i.alias("pos"), x.alias("value")))
-    entries = F.when(v.getField("type") == 0, sparse).otherwise(dense)
-    return F.filter(entries, lambda e: e.getField("value") != 0)
-
-
-DENSE_FLATTEN_MAX = 4096
-
-
-def vector_size(df: DataFrame, col: str) -> int | None:
-    """Size of a vector column from its ML attribute metadata, else from the first row."""
-    attrs = df.schema[col].metadata.get("ml_attr", {})
-    if "num_attrs" in attrs:
-        return int(attrs["num_attrs"])
-    first = df.select(col).first()
-    return None if first is None or first[0] is None else len(first[0])
+    """Non-zero entries of a vector column as ``array<struct<pos, value>>``,
+    from the vector's own storage (sparse: indices and values; dense: values):
+    the cost follows the stored entries, not the vector's size."""
+    v = F.unwrap_udt(F.col(col))
+    sparse = F.arrays_zip(v["indices"].alias("pos"), v["values"].alias("value"))
+    dense = F.transform(v["values"], lambda x, i: F.struct(i.alias("pos"), x.alias("value")))
+    entries = F.when(v["type"] == 0, sparse).otherwise(dense)
+    return F.filter(entries, lambda e: e["value"] != 0)
 
 
 def explode_vector(df: DataFrame, keys: Sequence[str], col: str, nonzero: bool = False) -> DataFrame:
     """``(keys..., pos, value)`` rows of a vector or array column.  With
-    ``nonzero``, narrow vectors are expanded densely and filtered (cheapest
-    for a few thousand positions); wider ones are read from their stored
-    entries, so cost follows the non-zeros, not the width."""
-    wide = nonzero and _is_vector(df, col) and (vector_size(df, col) or 0) > DENSE_FLATTEN_MAX
-    if wide:
+    ``nonzero``, a vector's stored entries are read whatever its size."""
+    if nonzero and _is_vector(df, col):
         return df.select(*keys, F.inline(vector_entries(col))).select(
             *keys, F.col("pos").cast("int").alias("pos"), "value"
         )
@@ -175,16 +153,9 @@ def one_hot(df: DataFrame, col: str, out: str, drop_last: bool = True) -> DataFr
     return MF.OneHotEncoder(inputCol=col, outputCol=out, dropLast=drop_last).fit(df).transform(df)
 
 
-MAX_PCA_DIM = 4096
-
-
-def fit_pca(df: DataFrame, col: str, k: int, max_dim: int = MAX_PCA_DIM) -> MF.PCAModel:
-    """Top-k principal components.  The d x d covariance is reduced on the
-    driver, so wider inputs than ``max_dim`` are refused up front."""
-    first = df.select(col).first()
-    dim = len(first[0]) if first is not None else 0
-    if dim > max_dim:
-        raise ValueError(f"PCA on {dim} columns needs a {dim}x{dim} driver matrix; reduce the input first")
+def fit_pca(df: DataFrame, col: str, k: int) -> MF.PCAModel:
+    """Top-k principal components (MLlib builds the d x d covariance on the
+    driver and states its own limit on d)."""
     return MF.PCA(k=k, inputCol=col, outputCol="__pca").fit(df)
 
 
@@ -220,31 +191,77 @@ def poly_expand(df: DataFrame, col: str, out: str, degree: int = 2) -> DataFrame
     return MF.PolynomialExpansion(degree=degree, inputCol=col, outputCol=out).transform(df)
 
 
-MAX_CATEGORIES = 10_000
-
-
-def _check_label_cardinality(df: DataFrame, label: str, limit: int) -> None:
-    n = df.agg(F.approx_count_distinct(label, 0.05).alias("n")).first()["n"]
-    if n > limit:
-        raise ValueError(f"label {label!r} has about {n} distinct values; contingency tables are limited to {limit}")
-
-
-def chi2_test(df: DataFrame, features: str, label: str, max_categories: int = MAX_CATEGORIES) -> DataFrame:
+def contingency(df: DataFrame, features: str, label: str) -> DataFrame:
+    """Counts ``(feature, value, label, n)`` of a feature vector's positions
+    against the label; combined before the shuffle, so no label or value
+    needs a column or a driver entry of its own."""
+    cells = explode_vector(df, [label], features).select(
+        F.col("pos").alias("feature"), "value", F.col(label).cast("string").alias("label"))
+    return cells.groupBy("feature", "value", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _chi2_tail(x: float, dof: int) -> float:
+    """P(chi-squared with ``dof`` degrees of freedom > x): the regularised upper
+    incomplete gamma function at (dof / 2, x / 2), by series below its mean and
+    by continued fraction above."""
+    import math
+
+    a, z = dof / 2.0, x / 2.0
+    if z <= 0:
+        return 1.0
+    scale = math.exp(min(0.0, a * math.log(z) - z - math.lgamma(a)))
+    if z < a + 1:
+        term = total = 1.0 / a
+        n = a
+        while term > total * 1e-16:
+            n += 1
+            term *= z / n
+            total += term
+        return max(0.0, 1.0 - scale * total)
+    b, c = z + 1 - a, 1e300
+    d = 1 / b
+    h, i = d, 0
+    while True:
+        i += 1
+        b += 2
+        num = i * (a - i)
+        d = 1 / (num * d + b or 1e-300)
+        c = b + num / c or 1e-300
+        h *= d * c
+        if abs(d * c - 1) < 1e-15:
+            return scale * h
+
+
+def chi2_test(df: DataFrame, features: str, label: str) -> DataFrame:
     """Pearson's independence test per feature: ``featureIndex, pValue,
-    degreesOfFreedom, statistic`` (one row per feature).  A label with more
-    than ``max_categories`` values (one contingency column each) is refused."""
-    from pyspark.ml.stat import ChiSquareTest
-
-    _check_label_cardinality(df, label, max_categories)
-    return ChiSquareTest.test(df, features, label, flatten=True)
-
-
-def chi2_select(df: DataFrame, features: str, label: str, k: int, out: str,
-                max_categories: int = MAX_CATEGORIES) -> DataFrame:
-    """Keep the ``k`` features most dependent on the label (chi-squared)."""
-    _check_label_cardinality(df, label, max_categories)
-    sel = MF.UnivariateFeatureSelector(
-        featuresCol=features, labelCol=label, outputCol=out, selectionMode="numTopFeatures"
-    )
-    sel.setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(k)
-    return sel.fit(df).transform(df)
+    degreesOfFreedom, statistic`` (one row per feature).
+
+    The statistic is ``N * sum(n^2 / (row total * column total)) - N`` over the
+    cells that occur (empty cells add nothing to that sum), so a label with as
+    many values as customers only makes more rows.  A feature or label with one
+    value has statistic 0 and p-value 1."""
+    cells = contingency(df, features, label)
+    rows = cells.groupBy("feature", "value").agg(F.sum("n").alias("row_total"))
+    cols = cells.groupBy("feature", "label").agg(F.sum("n").alias("col_total"))
+    n = F.col("n").cast("double")
+    joined = cells.join(rows, ["feature", "value"]).join(cols, ["feature", "label"])
+    parts = joined.groupBy("feature").agg(
+        F.sum("n").alias("total"), F.sum(n * n / (F.col("row_total").cast("double") * F.col("col_total"))).alias("s"))
+    sizes = rows.groupBy("feature").agg(F.count(F.lit(1)).alias("values")).join(
+        cols.groupBy("feature").agg(F.count(F.lit(1)).alias("labels")), "feature")
+    stats = parts.join(sizes, "feature").select(
+        F.col("feature").alias("featureIndex"),
+        ((F.col("values") - 1) * (F.col("labels") - 1)).alias("degreesOfFreedom"),
+        F.greatest(F.col("total") * F.col("s") - F.col("total"), F.lit(0.0)).alias("statistic"))
+    tail = F.udf(lambda x, dof: 1.0 if dof == 0 else _chi2_tail(x, dof), "double")  # one call per feature
+    return stats.select(
+        "featureIndex", tail("statistic", "degreesOfFreedom").alias("pValue"),
+        F.col("degreesOfFreedom").cast("int").alias("degreesOfFreedom"), "statistic")
+
+
+def chi2_select(df: DataFrame, features: str, label: str, k: int, out: str) -> DataFrame:
+    """Keep the ``k`` features most dependent on the label (least p-value,
+    then greater statistic, then position), in their order."""
+    best = chi2_test(df, features, label).orderBy("pValue", F.desc("statistic"), "featureIndex").limit(k)
+    keep = sorted(r["featureIndex"] for r in best.collect())  # at most k rows
+    return MF.VectorSlicer(inputCol=features, outputCol=out, indices=keep).transform(df)

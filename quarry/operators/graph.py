@@ -75,12 +75,13 @@ def edge_report(g: Graph) -> DataFrame:
 
 
 def edge_counts(g: Graph) -> DataFrame:
+    """Edges per ``(src, dst)``."""
+    return g.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("count"))
+
+
+def ranked_edge_counts(g: Graph) -> DataFrame:
     """Edges per ``(src, dst)``, most frequent first."""
-    return (
-        g.edges.groupBy("src", "dst")
-        .agg(F.count(F.lit(1)).alias("count"))
-        .orderBy(F.desc("count"), "src", "dst")
-    )
+    return edge_counts(g).orderBy(F.desc("count"), "src", "dst")
 
 
 def subgraph(

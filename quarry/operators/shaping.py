@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.scalar import hash_percent
+from quarry.functions.scalar import hash_share
 from quarry.session import scratch_dir
 
 # ----------------------------------------------------------------- projections
@@ -67,17 +67,17 @@ def explode_structs(df: DataFrame, keep: Sequence[str], array_col: str) -> DataF
 def split_column(df: DataFrame, weights: Sequence[float], key: str | Column, seed: int = 0, name: str = "split") -> DataFrame:
     """Add the split index (0..len(weights)-1) chosen by a hash of ``key``.
 
-    The bucket is ``hash_percent(key, seed)`` (0..99) and weights are turned
-    into cumulative percent thresholds, so the assignment depends only on
-    the key: it survives repartitioning and recomputation and can be
-    recomputed in SQL.
+    ``hash_share(key, seed)`` (a percentage) is held against the cumulative
+    weights, so the assignment depends only on the key: it survives
+    repartitioning and recomputation and can be recomputed in SQL.  Weights
+    may be any fraction.
     """
     total = float(sum(weights))
-    bucket = hash_percent(key, seed)
+    share = hash_share(key, seed)
     cum, expr = 0.0, None
     for i, w in enumerate(weights[:-1]):
         cum += 100.0 * w / total
-        cond = bucket < F.lit(round(cum))
+        cond = share < F.lit(round(cum, 9))
         expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
     last = F.lit(len(weights) - 1)
     return df.withColumn(name, last if expr is None else expr.otherwise(last))

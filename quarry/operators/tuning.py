@@ -1,7 +1,6 @@
 """Pipelines, parameter grids and model selection (inventory T1-T4).
 
-Selection runs MLlib's fits; ``parallelism`` defaults to the grid size
-(capped) so grid points are fitted concurrently.  Cross-validation takes a
+Selection runs MLlib's fits, ``parallelism`` grid points at a time.  Cross-validation takes a
 fold column built from a key hash, so folds are reproducible and survive
 recomputation.
 """
@@ -14,7 +13,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from quarry.functions.scalar import hash_percent
+from quarry.functions.scalar import hash_number
 
 
 def pipeline(stages: Sequence) -> Pipeline:
@@ -37,25 +36,23 @@ def grid_table(spark: SparkSession, grid: list) -> DataFrame:
 
 
 def train_validation_split(estimator, grid: list, evaluator, df: DataFrame, train_ratio: float = 0.75,
-                           seed: int = 42, parallelism: int | None = None):
+                           seed: int = 42, parallelism: int = 8):
     """Fit every grid point on ``train_ratio`` of the rows, keep the best by
     the evaluator, refit it on all rows."""
-    par = parallelism or max(1, min(8, len(grid)))
     tvs = TrainValidationSplit(estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator,
-                               trainRatio=train_ratio, seed=seed, parallelism=par)
+                               trainRatio=train_ratio, seed=seed, parallelism=parallelism)
     return tvs.fit(df)
 
 
 def fold_column(df: DataFrame, key: str | Column, folds: int, seed: int = 0, name: str = "fold") -> DataFrame:
     """Deterministic fold id ``0..folds-1`` from a hash of ``key``."""
-    return df.withColumn(name, (hash_percent(key, seed) % folds).cast("int"))
+    return df.withColumn(name, (hash_number(key, seed) % folds).cast("int"))
 
 
 def cross_validate(estimator, grid: list, evaluator, df: DataFrame, folds: int = 3, fold_col: str | None = None,
-                   seed: int = 42, parallelism: int | None = None):
+                   seed: int = 42, parallelism: int = 8):
     """k-fold cross-validation; the metric is averaged per grid point."""
-    par = parallelism or max(1, min(8, len(grid)))
     kw = {"foldCol": fold_col} if fold_col else {}
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds,
-                        seed=seed, parallelism=par, **kw)
+                        seed=seed, parallelism=parallelism, **kw)
     return cv.fit(df)

@@ -6,6 +6,8 @@ to 4 places on both sides.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.ml.feature import PCAModel
 from pyspark.sql import functions as F
 
@@ -255,7 +257,7 @@ def f15_pca(spark, sf):
 def k3_save_load_model(spark, sf):
     df = _two_dims(spark, sf)
     model = FE.fit_pca(df, "features", 2)
-    path = stage_path(spark, "models", "pca-2")
+    path = stage_path(spark, "models", f"pca-2-{hashlib.md5(sf.encode()).hexdigest()[:8]}")
     S.save_model(model, path)
     loaded = S.load_model(PCAModel, path)
     return _flat(FE.pca_project(df, "features", loaded, "pcs"), ["vec_id"], "pcs")
@@ -300,3 +302,19 @@ def f17_chi2_select(spark, sf):
     df = FE.assemble(lines, ["l_linenumber", "l_discount", "l_tax"], "features")
     res = FE.chi2_test(df, "features", "label")
     return res.select("featureIndex", _r4(F.col("statistic")).alias("statistic"), "degreesOfFreedom")
+
+
+@register(
+    "f17_chi2_selected",
+    """SELECT o_orderkey, CAST(c_nationkey AS DOUBLE) AS value
+FROM orders JOIN customer ON o_custkey = c_custkey""",
+)
+def f17_chi2_selected(spark, sf):
+    """The feature most dependent on the customer: of priority, nation and status, the nation."""
+    nations = td.table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    rows = td.table(spark, sf, "orders").join(nations, "o_custkey").select(
+        "o_orderkey", "o_custkey", F.ascii("o_orderpriority").alias("priority"), "c_nationkey",
+        F.ascii("o_orderstatus").alias("status"))
+    df = FE.assemble(rows, ["priority", "c_nationkey", "status"], "features")
+    kept = FE.chi2_select(df, "features", "o_custkey", 1, "kept")
+    return FE.explode_vector(kept, ["o_orderkey"], "kept").select("o_orderkey", "value")

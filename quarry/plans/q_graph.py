@@ -53,7 +53,7 @@ def g2_graph_counts(spark, sf):
     with_(TRADE_EDGES) + "SELECT src, dst, count(*)::BIGINT AS count FROM trade_edges GROUP BY src, dst",
 )
 def g3_edge_counts(spark, sf):
-    return G.edge_counts(td.trade_graph(spark, sf))
+    return G.ranked_edge_counts(td.trade_graph(spark, sf))
 
 
 @register(

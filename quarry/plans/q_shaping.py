@@ -145,6 +145,17 @@ def p12_split_rows(spark, sf):
     return P.split_column(orders, [0.7, 0.3], "o_orderkey", seed=7)
 
 
+@register(
+    "p12_split_small",
+    """SELECT o_orderkey FROM orders
+WHERE (('0x' || substr(md5('7:' || CAST(o_orderkey AS VARCHAR)), 1, 7))::BIGINT % 100)
+      + ('0x' || substr(md5('7:' || CAST(o_orderkey AS VARCHAR)), 8, 7))::BIGINT / 268435456.0::DOUBLE >= 99.9""",
+)
+def p12_split_small(spark, sf):
+    """The second part of a 99.9 / 0.1 percent split."""
+    return P.split_rows(td.table(spark, sf, "orders").select("o_orderkey"), [0.999, 0.001], "o_orderkey", seed=7)[1]
+
+
 # ------------------------------------------------------------------ aggregations
 
 
@@ -408,9 +419,9 @@ def p13_cache_control(spark, sf):
     "SELECT o_custkey, count(*)::BIGINT AS n_orders, round(sum(o_totalprice), 4) + 0.0 AS total FROM orders GROUP BY 1",
 )
 def p14_partition_control(spark, sf):
-    """Hash-partition on the grouping key first: the aggregation reuses that
-    partitioning (no second exchange); AQE coalesces small partitions."""
-    orders = td.table(spark, sf, "orders").repartition("o_custkey")
-    return orders.groupBy("o_custkey").agg(
+    """The aggregation combines before its exchange; its result is then dealt
+    into balanced partitions on the key (a hot one is split, small ones merged)."""
+    totals = td.table(spark, sf, "orders").groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("n_orders"), (F.round(F.sum("o_totalprice"), 4) + 0.0).alias("total")
     )
+    return totals.hint("rebalance", "o_custkey")

@@ -30,7 +30,7 @@ def s1_read_csv(spark, sf):
     "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part",
 )
 def s2_read_csv_infer(spark, sf):
-    part = td.table(spark, sf, "part").repartition(4)
+    part = td.table(spark, sf, "part")
     path = stage(spark, sf, "part_csv", part, "csv", header="true")
     df = S.read_csv(spark, f"{path}/part-*.csv", infer=True)
     return df.select(

@@ -7,7 +7,7 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.session import stage_path
+from quarry.session import is_local, stage_path
 from quarry.sources.files import write_table
 
 
@@ -23,13 +23,16 @@ def stage_embedding_images(spark: SparkSession, sf_dir: str, embeddings: DataFra
     """Render each embedding row as a ``side`` x ``side`` grayscale PNG under
     ``<stage>/images/<label>/<vec_id>.png`` (one folder per class).
 
-    Pixel ``i`` is ``clamp(floor((x_i + 1) * 127.5), 0, 255)`` of the first
-    ``side * side`` values.  Files are written by the tasks themselves
+    Pixel ``i`` is ``clamp(floor((x_i + 1) * 127.5), 0, 255)`` of its
+    ``side * side`` values; vectors of another length are refused.  Files are written by the tasks themselves
     (``mapInPandas``), so the rendering is partitioned like the table; a
     retried task rewrites the same file names.
     """
     tag = hashlib.md5(sf_dir.encode()).hexdigest()[:8]
     root = stage_path(spark, f"images-{tag}")
+    if ":" not in root and not is_local(spark):
+        raise ValueError("name spark.checkpoint.dir as a URI, so that tasks write where Spark reads")
+    uri = "file://" + root.removeprefix("file:").removeprefix("//") if ":" not in root or root.startswith("file:") else root
     n = side * side
 
     # The task function is self-contained (stdlib, numpy, pandas, pyarrow only),
@@ -54,13 +57,16 @@ def stage_embedding_images(spark: SparkSession, sf_dir: str, embeddings: DataFra
             return (b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", header) + chunk(b"IDAT", zlib.compress(raw))
                     + chunk(b"IEND", b""))
 
-        filesystem, base = pafs.FileSystem.from_uri(root if "://" in root else "file://" + root)
+        filesystem, base = pafs.FileSystem.from_uri(uri)
         for pdf in batches:
+            for label in pdf["label"].unique():
+                filesystem.create_dir(f"{base}/label_{int(label)}", recursive=True)
             for vec_id, label, emb in zip(pdf["vec_id"], pdf["label"], pdf["embedding"]):
-                x = np.asarray(emb, dtype=np.float32)[:n].astype(np.float64)
+                x = np.asarray(emb, dtype=np.float32).astype(np.float64)
+                if len(x) != n:
+                    raise ValueError(f"vector {vec_id} has {len(x)} values; an image of side {side} needs {n}")
                 px = np.clip(np.floor((x + 1.0) * 127.5), 0, 255).astype(np.uint8).tobytes()
                 folder = f"{base}/label_{int(label)}"
-                filesystem.create_dir(folder, recursive=True)
                 with filesystem.open_output_stream(f"{folder}/{int(vec_id)}.png") as f:
                     f.write(_png_gray(side, side, px))
             yield pd.DataFrame({"written": [len(pdf)]})

@@ -22,7 +22,6 @@ _LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.driver.memory": "16g",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
@@ -65,28 +64,36 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
     }
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a private one only if unset.
+    """The shared checkpoint folder, registered on the context.
 
-    On a cluster ``spark.checkpoint.dir`` names a folder every executor can
-    reach; it is used as is.  When neither the setting nor the context's
-    checkpoint directory exists (local tests), a fresh folder is created once
-    and registered on the context.
+    It is the folder that ``spark.checkpoint.dir`` names, as it is named there
+    (a URI stays a URI).  Where the setting is unset, a local session (tests)
+    gets a folder of its own; any other master is refused, because executors
+    could not read each other's files.  Every call returns the same folder.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    if current:
-        return current.removeprefix("file:")
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return conf_dir
-    local = tempfile.mkdtemp(prefix="quarry-ckpt-", dir=os.environ.get("QUARRY_SCRATCH", "/tmp"))
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir().removeprefix("file:") if sc.getCheckpointDir() else local
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    if not named and not is_local(spark):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if not named:
+        if sc.applicationId not in _LOCAL:
+            made = tempfile.mkdtemp(prefix="quarry-ckpt-", dir=os.environ.get("QUARRY_SCRATCH", "/tmp"))
+            _LOCAL[sc.applicationId] = f"file:{made}"
+        named = _LOCAL[sc.applicationId]
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and tasks share one machine."""
+    return spark.sparkContext.master.split("[")[0] == "local"
 
 
 def stage_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared scratch folder for staged (derived) files."""
-    base = scratch_dir(spark)
-    return os.path.join(base, "stage", *parts)
+    return "/".join([scratch_dir(spark), "stage", *parts])

@@ -133,7 +133,7 @@ def read_headerless_routes(
     """Header-less, extension-less part files whose names hold unquoted commas.
 
     Fields are separated by a comma *not* followed by a space, so
-    ``Bonaire, Sint Eustatius, and Saba,United States,62`` has three fields.
+    ``Arden, Little Brook, and Vale,Northland,17`` has three fields.
     Files starting with ``_`` or ``.`` (commit markers) are hidden by Spark."""
     parts = F.split(F.col("value"), ",(?! )")
     return spark.read.text(path if isinstance(path, str) else list(path)).select(

@@ -151,10 +151,29 @@ def test_chi2(spark):
     assert sel.first().sel.size == 1
 
 
-def test_driver_state_guards(spark):
-    df = spark.createDataFrame([(float(i), Vectors.dense(1.0, 0.0)) for i in range(30)], ["label", "features"])
-    with pytest.raises(ValueError):
-        FE.chi2_test(df, "features", "label", max_categories=10)
-    wide = spark.createDataFrame([(Vectors.dense([0.0] * 9),)], ["features"])
-    with pytest.raises(ValueError):
-        FE.fit_pca(wide, "features", 2, max_dim=8)
+def test_chi2_with_a_label_per_customer(spark):
+    """Equal to MLlib where its contingency columns suffice, and no limit on labels beyond."""
+    from pyspark.ml.stat import ChiSquareTest
+
+    rows = [(float(i % 7), Vectors.dense(float(i % 3), float(i * i % 5), 1.0)) for i in range(400)]
+    df = spark.createDataFrame(rows, ["label", "features"])
+    ours = {r.featureIndex: r for r in FE.chi2_test(df, "features", "label").collect()}
+    for r in ChiSquareTest.test(df, "features", "label", flatten=True).collect():
+        got = ours[r.featureIndex]
+        assert got.degreesOfFreedom == r.degreesOfFreedom
+        assert got.statistic == pytest.approx(r.statistic, abs=1e-6)
+        assert got.pValue == pytest.approx(r.pValue, abs=1e-6)
+    wide = spark.range(30_000).selectExpr("id % 15000 AS label", "array(double(id % 15000 % 2), double(id * 7919 % 30011 % 3)) AS features")
+    stats = {r.featureIndex: r for r in FE.chi2_test(wide, "features", "label").collect()}
+    assert stats[0].statistic == pytest.approx(30_000) and stats[0].degreesOfFreedom == 14_999 and stats[0].pValue < 1e-9
+    assert 0 < stats[1].statistic < 30_000 and stats[1].degreesOfFreedom == 29_998 and stats[1].pValue > 0.01
+
+
+def test_metrics_of_degenerate_labels(spark):
+    from quarry.operators import evaluation as EV
+
+    df = spark.createDataFrame([(0.3, 1.0), (0.6, 1.0)], "rawPrediction double, label double")
+    one = EV.binary_metrics(df).first()
+    assert one.areaUnderROC is None and one.areaUnderPR == 1.0
+    flat = EV.regression_metrics(df.withColumnRenamed("rawPrediction", "prediction")).first()
+    assert flat.r2 is None and flat.n == 2

@@ -71,9 +71,9 @@ def test_scalar_helpers(spark):
 def test_read_csv_quoted_and_json(spark, tmpdir_path):
     p = os.path.join(tmpdir_path, "a.csv")
     with open(p, "w") as f:
-        f.write('DEST,ORIGIN,count\n"Bonaire, Sint Eustatius",United States,62\nEgypt,Chad,3\n')
+        f.write('DEST,ORIGIN,count\n"Arden, Little Brook",Northland,17\nQuell,Marsh,3\n')
     df = S.read_csv(spark, p, schema="DEST string, ORIGIN string, count long")
-    assert sorted(tuple(r) for r in df.collect()) == [("Bonaire, Sint Eustatius", "United States", 62), ("Egypt", "Chad", 3)]
+    assert sorted(tuple(r) for r in df.collect()) == [("Arden, Little Brook", "Northland", 17), ("Quell", "Marsh", 3)]
     inferred = S.read_csv(spark, p, infer=True)
     assert dict(inferred.dtypes)["count"] == "int"
     j = os.path.join(tmpdir_path, "j")
@@ -86,10 +86,10 @@ def test_read_csv_quoted_and_json(spark, tmpdir_path):
 def test_read_delimited_strict_and_lenient(spark, tmpdir_path):
     p = os.path.join(tmpdir_path, "r.txt")
     with open(p, "w") as f:
-        f.write("0::2::3::1424380312\n1::3\n")
+        f.write("7::41::2::1300000000\n8::9\n")
     fields = [("userId", "int"), ("movieId", "int"), ("rating", "float"), ("timestamp", "long")]
     rows = S.read_delimited(spark, p, fields).orderBy("userId").collect()
-    assert tuple(rows[0]) == (0, 2, 3.0, 1424380312) and rows[1].rating is None
+    assert tuple(rows[0]) == (7, 41, 2.0, 1300000000) and rows[1].rating is None
     with pytest.raises(Exception):
         S.read_delimited(spark, p, fields, strict=True).collect()
 
@@ -98,11 +98,11 @@ def test_headerless_routes_and_hidden_files(spark, tmpdir_path):
     d = os.path.join(tmpdir_path, "hive")
     os.makedirs(d)
     with open(os.path.join(d, "part-00000-c000"), "w") as f:
-        f.write("Bonaire, Sint Eustatius, and Saba,United States,62\nUnited States,Egypt,15\n")
+        f.write("Arden, Little Brook, and Vale,Northland,17\nNorthland,Quell,4\n")
     with open(os.path.join(d, "_committed_123"), "w") as f:
         f.write('{"added":["part-00000-c000"]}\n')
     rows = sorted(tuple(r) for r in S.read_headerless_routes(spark, d).collect())
-    assert rows == [("Bonaire, Sint Eustatius, and Saba", "United States", 62), ("United States", "Egypt", 15)]
+    assert rows == [("Arden, Little Brook, and Vale", "Northland", 17), ("Northland", "Quell", 4)]
 
 
 def test_read_yearly(spark, tmpdir_path):
@@ -179,13 +179,9 @@ def test_vector_entries_sparse_and_dense(spark):
                                ["k", "v"])
     rows = sorted(tuple(r) for r in FE.explode_vector(df, ["k"], "v", nonzero=True).collect())
     assert rows == [(0, 1, 2.0), (1, 1, 3.0)]
-    saved = FE.DENSE_FLATTEN_MAX
-    try:
-        FE.DENSE_FLATTEN_MAX = 0  # force the stored-entries path
-        wide = sorted(tuple(r) for r in FE.explode_vector(df, ["k"], "v", nonzero=True).collect())
-    finally:
-        FE.DENSE_FLATTEN_MAX = saved
-    assert wide == rows
+    wide = spark.createDataFrame([(2, Vectors.sparse(1 << 20, [5, 999_999], [1.0, 4.0]))], ["k", "v"])
+    rows = sorted(tuple(r) for r in FE.explode_vector(wide, ["k"], "v", nonzero=True).collect())
+    assert rows == [(2, 5, 1.0), (2, 999_999, 4.0)]
 
 
 def test_read_yearly_mixed_csv_and_json(spark, tmpdir_path):
@@ -193,13 +189,13 @@ def test_read_yearly_mixed_csv_and_json(spark, tmpdir_path):
     os.makedirs(csv_dir)
     os.makedirs(json_dir)
     with open(os.path.join(csv_dir, "2014-summary.csv"), "w") as f:
-        f.write('DEST_COUNTRY_NAME,ORIGIN_COUNTRY_NAME,count\n"Bonaire, Sint Eustatius, and Saba",United States,58\n')
+        f.write('DEST_COUNTRY_NAME,ORIGIN_COUNTRY_NAME,count\n"Arden, Little Brook, and Vale",Northland,29\n')
     with open(os.path.join(json_dir, "2015-summary.json"), "w") as f:
-        f.write('{"ORIGIN_COUNTRY_NAME":"Romania","DEST_COUNTRY_NAME":"United States","count":15}\n')
+        f.write('{"ORIGIN_COUNTRY_NAME":"Marsh","DEST_COUNTRY_NAME":"Northland","count":6}\n')
     schema = "DEST_COUNTRY_NAME string, ORIGIN_COUNTRY_NAME string, count long"
     df = S.read_yearly_mixed(spark, [("csv", csv_dir), ("json", json_dir)], schema)
     rows = sorted((r.year, r.DEST_COUNTRY_NAME, r["count"]) for r in df.collect())
-    assert rows == [(2014, "Bonaire, Sint Eustatius, and Saba", 58), (2015, "United States", 15)]
+    assert rows == [(2014, "Arden, Little Brook, and Vale", 29), (2015, "Northland", 6)]
 
 
 def test_read_binary(spark, tmpdir_path):
@@ -214,7 +210,53 @@ def test_read_binary(spark, tmpdir_path):
 def test_scratch_dir_uses_session_checkpoint_dir(spark):
     from quarry.session import scratch_dir, stage_path
 
-    preset = spark.sparkContext.getCheckpointDir()
-    assert preset is not None  # conftest sets spark.checkpoint.dir
-    assert scratch_dir(spark) == preset.removeprefix("file:")
-    assert stage_path(spark, "x").startswith(preset.removeprefix("file:"))
+    preset = spark.conf.get("spark.checkpoint.dir")  # conftest sets it
+    assert scratch_dir(spark) == scratch_dir(spark) == preset
+    assert stage_path(spark, "x") == f"{preset}/stage/x"
+
+
+class _Session:
+    """What scratch_dir asks of a session."""
+
+    def __init__(self, master, conf=None):
+        self.sparkContext = self
+        self.master, self.applicationId, self.conf, self.set = master, f"app-{master}-{conf}", self, None
+        self.named = conf
+
+    def get(self, key, default=None):
+        return self.named if self.named else default
+
+    def getConf(self):
+        return self
+
+    def getCheckpointDir(self):
+        return self.set
+
+    def setCheckpointDir(self, path):
+        self.set = path
+
+
+def test_scratch_dir_refuses_a_cluster_without_a_shared_folder():
+    from quarry.session import scratch_dir
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(_Session("spark://host:7077"))
+    local = _Session("local[2]")
+    assert scratch_dir(local) == scratch_dir(local) == local.set
+    named = _Session("yarn", "hdfs://name/shared/")
+    assert scratch_dir(named) == "hdfs://name/shared" and named.set == "hdfs://name/shared/"
+
+
+def test_small_splits_are_not_empty(spark):
+    df = spark.range(100_000).withColumnRenamed("id", "k")
+    big, small = P.split_rows(df, [0.999, 0.001], "k")
+    assert 50 <= small.count() <= 160 and big.count() + small.count() == 100_000
+    many = P.split_column(df, [1] * 200, "k").groupBy("split").count().collect()
+    assert len(many) == 200
+
+
+def test_more_than_a_hundred_folds(spark):
+    from quarry.operators import tuning as T
+
+    folds = T.fold_column(spark.range(20_000).withColumnRenamed("id", "k"), "k", 250).groupBy("fold").count()
+    assert folds.count() == 250
