@@ -318,14 +318,13 @@ def pagerank(
     Returns the vertex table with a ``pagerank`` column.
     """
     scratch_dir(g.vertices.sparkSession)
-    ids = g.vertices.select("id").distinct().repartition("id").checkpoint()
+    ids = g.vertices.select("id").distinct().checkpoint()
     n = ids.count()
     pairs = g.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("w"))
     outdeg = pairs.groupBy("src").agg(F.sum("w").alias("__out"))
     weights = (
         pairs.join(outdeg, "src")
         .select("src", "dst", (F.col("w") / F.col("__out")).alias("wt"))
-        .repartition("src")
         .checkpoint()
     )
     ranks = ids.withColumn("rank", F.lit(1.0))
@@ -380,7 +379,7 @@ def bfs(
         return hit.select(vstruct.alias("from"), vstruct.alias("to"))
 
     known = g.vertices.select("id")
-    hop = edges.select("src", "dst").distinct().repartition("src").checkpoint()
+    hop = edges.select("src", "dst").distinct().checkpoint()
     levels = [sources.checkpoint()]
     visited = levels[0]
     found = None

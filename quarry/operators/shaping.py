@@ -148,27 +148,28 @@ def lead_within(
 ) -> DataFrame:
     """``lead(value)`` over each group in ``order``, without putting a group in one task.
 
-    Rows get a global position in the order ``(group..., order...)`` (range
-    partitioning splits even a group holding a third of all rows, because
-    the later sort columns separate its rows), and each row is joined to the
-    row at the next position when that row belongs to the same group.  The
-    join key is the unique position, so no key is hot.  Rows identical in
-    every sort column are interchangeable; give a total order for exact
-    reproducibility.
+    Rows are range-partitioned on ``(group..., order...)`` (the later columns
+    split even a group holding a third of all rows) and checkpointed, so that
+    partition ids are fixed.  Each row looks at the next one of its partition;
+    the last one looks at the first row of the partition after it, from a table
+    with one row per partition.  Rows identical in every sort column are
+    interchangeable; give a total order for exact reproducibility.
     """
+    spark = df.sparkSession
+    scratch_dir(spark)
     cols = list(group) + [c for c in order if c not in group]
-    pos = global_index(df, cols, "__pos").checkpoint()
-    nxt = pos.select(
-        (F.col("__pos") - 1).alias("__pos"),
-        *[F.col(g).alias(f"__g_{g}") for g in group],
-        F.col(value).alias(name),
-    )
-    same = [F.col(g).eqNullSafe(F.col(f"__g_{g}")) for g in group]
-    cond = same[0]
-    for c in same[1:]:
-        cond = cond & c
-    joined = pos.join(nxt, "__pos", "left")
-    return joined.withColumn(name, F.when(cond, F.col(name))).drop("__pos", *[f"__g_{g}" for g in group])
+    nparts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranged = df.repartitionByRange(nparts, *cols).withColumn("__pid", F.spark_partition_id()).checkpoint()
+    seen = F.struct(*[F.col(g).alias(f"g{i}") for i, g in enumerate(group)], F.col(value).alias("value"))
+    local = ranged.withColumn("__next", F.lead(seen).over(Window.partitionBy("__pid").orderBy(*cols)))
+    heads = ranged.groupBy("__pid").agg(F.min(F.struct(*cols, seen.alias("__seen")))["__seen"].alias("__head"))
+    heads = heads.select("__pid", F.lead("__head").over(Window.orderBy("__pid")).alias("__head"))  # at most nparts rows
+    joined = local.join(F.broadcast(heads), "__pid", "left")
+    nxt = F.coalesce("__next", "__head")
+    same = F.lit(True)
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(nxt[f"g{i}"])
+    return joined.withColumn(name, F.when(nxt.isNotNull() & same, nxt["value"])).drop("__pid", "__next", "__head")
 
 
 def value_ranks(df: DataFrame, col: str) -> DataFrame:

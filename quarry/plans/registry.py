@@ -44,6 +44,7 @@ def oracles() -> dict[str, str]:
 def load_all() -> None:
     """Import every module that registers queries."""
     from quarry.plans import (  # noqa: F401
+        q_checks,
         q_features,
         q_graph,
         q_models,
