@@ -197,15 +197,16 @@ def links(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """Per document: doc_id, text_hash, fp and component_id (smallest doc_id linked directly or through others)."""
+    """Per document: doc_id, text_hash, fp, root (a fingerprint that stands for
+    its group) and component_id (smallest doc_id linked directly or through others)."""
     marked = saved(fingerprints(docs, shingle), "simhash")
     classes = saved(marked.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "simhash-classes")
     grouped = components(links(classes, radius))
     joined = classes.join(grouped, classes["fp"] == grouped["node"], "left")
     joined = saved(joined.select("fp", "doc_id", F.coalesce("component", "fp").alias("root")), "simhash-roots")
     least = joined.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    of = joined.join(least, "root").select("fp", "component_id")
-    return marked.join(of, "fp").select("doc_id", "text_hash", "fp", "component_id")
+    of = joined.join(least, "root").select("fp", "root", "component_id")
+    return marked.join(of, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
@@ -213,7 +214,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
     smallest doc_id stays (of rows with one id and one text, one)."""
     groups = near_groups(docs, shingle, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     key, digest = fresh("_sh_id", docs.columns), fresh("_sh_text", docs.columns)
-    stay = groups.groupBy("component_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("s"), F.count("*").alias("n"))
+    stay = groups.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("s"), F.count("*").alias("n"))
     stay = saved(stay.select(F.col("s.doc_id").alias(key), F.col("s.text_hash").alias(digest), "n"), "simhash-stay")
     rows = docs.withColumn(digest, F.xxhash64(whole_text()))
     rows = rows.join(

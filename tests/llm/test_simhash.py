@@ -91,11 +91,12 @@ def test_random_links_across_tiles(spark):
 
 def test_keep_one_keeps_columns_and_repeated_rows_once(spark):
     rows = [(1, "a b c d", "x", "p"), (2, "a b c d", "y", "q"), (3, "e f g h", "z", "r"), (3, "e f g h", "z", "r"),
-            (None, "e f g h", "z", "r"), (None, "only null ids", None, None), (9, None, None, None)]
+            (None, "e f g h", "z", "r"), (None, "only null ids", None, None), (9, None, None, None),
+            (None, "a second group without any id", None, None)]
     kept = simhash.keep_one(spark.createDataFrame(rows, SCHEMA))
     assert kept.columns == ["doc_id", "text", "source", "fp"]
     assert sorted(kept.collect(), key=str) == sorted(
-        [Row(*rows[0]), Row(*rows[2]), Row(*rows[5]), Row(*rows[6])], key=str)
+        [Row(*rows[0]), Row(*rows[2]), Row(*rows[5]), Row(*rows[6]), Row(*rows[7])], key=str)
 
 
 def test_empty(spark):
