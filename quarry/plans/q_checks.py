@@ -28,7 +28,7 @@ def _r(c, digits):
 # penalty (both in units of the label's deviation).
 SHRUNK = """WITH d AS (SELECT l_quantity AS x, l_extendedprice / 10000 AS y FROM lineitem),
  s AS (SELECT corr(x, y) AS r, stddev_pop(x) AS sx, stddev_pop(y) AS sy, avg(x) AS mx, avg(y) AS my FROM d),
- b AS (SELECT greatest(r - {l1} / sy, 0) / (1 + {l2} / sy) * sy / sx AS b, mx, my FROM s)
+ b AS (SELECT sign(r) * greatest(abs(r) - {l1} / sy, 0) / (1 + {l2} / sy) * sy / sx AS b, mx, my FROM s)
 SELECT 'intercept' AS term, round(my - b * mx, 3) + 0.0 AS value FROM b
 UNION ALL SELECT 'coef_0', round(b, 3) + 0.0 FROM b"""
 
