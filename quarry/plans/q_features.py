@@ -253,14 +253,44 @@ def f15_pca(spark, sf):
     return _flat(FE.pca(_two_dims(spark, sf), "features", 2, "pcs"), ["vec_id"], "pcs")
 
 
-@register("k3_save_load_model", PCA_SQL)
+SQUARES_SQL = """SELECT vec_id, round(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]), 4) + 0.0 AS squares
+FROM embeddings"""
+
+
+def squares(df, model, width):
+    """Sum of squares of every row turned onto all components (a rotation keeps
+    it); null if the first two components are correlated."""
+    from pyspark.ml.functions import vector_to_array
+
+    turned = FE.pca_project(df, "features", model, "turned").select("vec_id", vector_to_array("turned").alias("t"))
+    related = turned.agg(F.corr(F.get("t", F.lit(0)), F.get("t", F.lit(width - 1))).alias("r")).first()["r"]
+    total = F.aggregate("t", F.lit(0.0), lambda acc, x: acc + x * x)
+    return turned.select("vec_id", F.when(F.abs(F.lit(related)) < 1e-6, F.round(total, 4) + 0.0).alias("squares"))
+
+
+def whole_vectors(spark, sf):
+    """The embeddings as vectors, and their width."""
+    from pyspark.ml.functions import array_to_vector
+
+    rows = td.table(spark, sf, "embeddings")
+    width = rows.agg(F.max(F.size("embedding")).alias("d")).first()["d"]
+    return rows.select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features")), width
+
+
+@register("f15_pca_full", SQUARES_SQL)
+def f15_pca_full(spark, sf):
+    """All components of the whole vectors."""
+    df, width = whole_vectors(spark, sf)
+    return squares(df, FE.fit_pca(df, "features", width), width)
+
+
+@register("k3_save_load_model", SQUARES_SQL)
 def k3_save_load_model(spark, sf):
-    df = _two_dims(spark, sf)
-    model = FE.fit_pca(df, "features", 2)
-    path = stage_path(spark, "models", f"pca-2-{hashlib.md5(sf.encode()).hexdigest()[:8]}")
-    S.save_model(model, path)
-    loaded = S.load_model(PCAModel, path)
-    return _flat(FE.pca_project(df, "features", loaded, "pcs"), ["vec_id"], "pcs")
+    """A fitted model of the whole vectors, saved, loaded and applied."""
+    df, width = whole_vectors(spark, sf)
+    path = stage_path(spark, "models", f"pca-{hashlib.md5(sf.encode()).hexdigest()[:8]}")
+    S.save_model(FE.fit_pca(df, "features", width), path)
+    return squares(df, S.load_model(PCAModel, path), width)
 
 
 @register(
