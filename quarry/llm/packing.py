@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.bpe import Encoder
+from quarry.llm.bpe import encoder
 from quarry.llm.common import saved, whole_text
 
 #: Tokens of a sequence; id that ends a document.
@@ -49,12 +49,11 @@ def encode_pieces(docs: DataFrame, locate: Callable[[], str], length: int = LENG
     """The pieces of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = None, end_id.to_bytes(4, "little")
+        ids_of, end = encoder(locate()).ids, end_id.to_bytes(4, "little")
         for batch in batches:
-            encoder = encoder or Encoder(locate())
             for k in range(0, len(batch), TEXTS):
                 some, out = batch.slice(k, TEXTS), []
-                for doc, ids in zip(some.column("doc_id").to_pylist(), encoder.ids(some.column("text").to_pylist())):
+                for doc, ids in zip(some.column("doc_id").to_pylist(), ids_of(some.column("text").to_pylist())):
                     ids += end
                     n = len(ids) // 4
                     at, size = 0, (n - 1) % length + 1

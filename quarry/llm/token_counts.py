@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.bpe import Encoder
+from quarry.llm.bpe import encoder
 from quarry.llm.common import BROADCAST_ROWS, saved, whole_text
 
 CACHE_SCHEMA = "digest binary, n_tokens long"
@@ -43,12 +43,11 @@ def cached_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def _encode(texts: DataFrame, locate: Callable[[], str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
+        ids_of = encoder(locate()).ids
         for batch in batches:
-            encoder = encoder or Encoder(locate())
             for k in range(0, len(batch), TEXTS):
                 some = batch.slice(k, TEXTS)
-                counts = [len(b) // 4 for b in encoder.ids(some.column("text").to_pylist())]
+                counts = [len(b) // 4 for b in ids_of(some.column("text").to_pylist())]
                 yield pa.RecordBatch.from_arrays(
                     [some.column("digest"), pa.array(counts, pa.int64())], names=["digest", "n_tokens"]
                 )
