@@ -75,7 +75,7 @@ NAMES = frozenset(
     "sidebar rail menu nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar cookie cookies consent "
     "gdpr notice notices notification alert popup modal overlay share sharing social related recommended newsletter "
     "subscribe subscription signup login search toolbar widget widgets pagination pager copyright reply replies respond "
-    "responses discussion disqus skip".split()
+    "responses discussion disqus skip side aside teaser teasers ticker".split()
 )
 CONTENT = frozenset("article main content post entry story body text".split())
 HEADERS = frozenset("header masthead".split())
