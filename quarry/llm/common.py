@@ -47,15 +47,15 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: Rows up to which a table may be broadcast (narrow rows: a few MB).
-BROADCAST_ROWS = 50_000
+#: Rows up to which a table may be broadcast: of a few columns, and of one column of longs (8 MB).
+BROADCAST_ROWS, BROADCAST_KEYS = 50_000, 1_000_000
 
 
-def small(df: DataFrame, name: str) -> DataFrame:
-    """``df``, written once and marked for broadcast if it has at most
-    BROADCAST_ROWS rows; beyond that Spark joins by shuffle and splits skew."""
+def small(df: DataFrame, name: str, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df``, written once and marked for broadcast if it has at most ``rows``
+    rows; beyond that Spark joins by shuffle and splits skew."""
     kept = saved(df, name)
-    return F.broadcast(kept) if kept.count() <= BROADCAST_ROWS else kept
+    return F.broadcast(kept) if kept.count() <= rows else kept
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
