@@ -17,8 +17,8 @@ import types
 from collections.abc import Callable, Sequence
 from itertools import islice
 
-#: Pieces kept between batches; pieces handed to the library at once.
-CACHED, CHUNK = 700_000, 4096
+#: Pieces kept between batches, and between tasks; pieces handed to the library at once.
+CACHED, KEPT, CHUNK = 450_000, 250_000, 4096
 
 
 def locator(file: str) -> Callable[[], str]:
@@ -109,6 +109,13 @@ class Encoder:
                     del cache[k]
         return out
 
+    def rest(self) -> None:
+        """Keep the pieces learned first (the common ones) and free the others' memory until the next task."""
+        for cache in (self.first, self.later):
+            kept = dict(islice(cache.items(), KEPT))
+            cache.clear()
+            cache.update(kept)
+
     def _learn(self, cache: dict[str, bytes], seen: set[str], written) -> list[str]:
         new = list(seen.difference(cache))
         for k in range(0, len(new), CHUNK):

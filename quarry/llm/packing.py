@@ -49,11 +49,11 @@ def encode_pieces(docs: DataFrame, locate: Callable[[], str], length: int = LENG
     """The pieces of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, end = encoder(locate()).ids, end_id.to_bytes(4, "little")
+        own, end = encoder(locate()), end_id.to_bytes(4, "little")
         for batch in batches:
             for k in range(0, len(batch), TEXTS):
                 some, out = batch.slice(k, TEXTS), []
-                for doc, ids in zip(some.column("doc_id").to_pylist(), ids_of(some.column("text").to_pylist())):
+                for doc, ids in zip(some.column("doc_id").to_pylist(), own.ids(some.column("text").to_pylist())):
                     ids += end
                     n = len(ids) // 4
                     at, size = 0, (n - 1) % length + 1
@@ -66,6 +66,7 @@ def encode_pieces(docs: DataFrame, locate: Callable[[], str], length: int = LENG
                     [pa.array(c, t) for c, t in zip(cols, types)],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
+        own.rest()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).mapInArrow(run, PIECES)
 

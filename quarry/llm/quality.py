@@ -128,22 +128,18 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float, float]
 def score(docs: DataFrame, model: tuple[np.ndarray, float, float], out: str = "score") -> DataFrame:
     """``docs`` with the score of every whole text in column ``out``."""
     w, b, prior = model
-    text = fresh("_q_text", docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index(text)
             if len(w):
-                z = np.array([features(t.as_py()) @ w + b for t in batch.column(at)], float)
+                z = np.array([features(t.as_py() or "") @ w + b for t in batch.column("text")], float)
                 s = 0.5 * (1 + np.tanh(z / 2))
             else:
                 s = np.full(len(batch), prior)
-            kept = [c for i, c in enumerate(batch.columns) if i != at]
-            names = [c for i, c in enumerate(batch.schema.names) if i != at]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(s)], names=[*names, out])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s)], names=[*batch.schema.names, out])
 
     schema = docs.withColumn(out, F.lit(0.0)).schema
-    return docs.withColumn(text, whole_text()).mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -43,14 +43,15 @@ def cached_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def _encode(texts: DataFrame, locate: Callable[[], str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = encoder(locate()).ids
+        own = encoder(locate())
         for batch in batches:
             for k in range(0, len(batch), TEXTS):
                 some = batch.slice(k, TEXTS)
-                counts = [len(b) // 4 for b in ids_of(some.column("text").to_pylist())]
+                counts = [len(b) // 4 for b in own.ids(some.column("text").to_pylist())]
                 yield pa.RecordBatch.from_arrays(
                     [some.column("digest"), pa.array(counts, pa.int64())], names=["digest", "n_tokens"]
                 )
+        own.rest()
 
     return texts.mapInArrow(run, CACHE_SCHEMA)
 
