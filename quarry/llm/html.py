@@ -12,9 +12,9 @@ never in one task; only its small wrappers meet.
 
 The wrapper shows where the varying text of the host is: the article or main
 element if it holds most of it, else the deepest element that does.  Of every
-page the text below that place is taken, without texts that stand there on
-all of many pages of the host.  A page that lacks the place, or has no host, is its
-own wrapper.
+page the text below that place is taken: of an article or main element all, else
+without the texts at its start and end that the pages of the host share.  A page
+that lacks the place, or has no host, is its own wrapper.
 
 Defined cases: a null page is empty; broken markup is read as far as it goes;
 pages without text give an empty text; repeated pages are aligned and extracted
@@ -39,8 +39,9 @@ from quarry.llm.common import saved, small
 PARTS, HOSTS = 16, 1000
 #: Items of an element beyond which names no longer tell them apart; depth below which elements join their parent.
 ITEMS, DEPTH = 64, 80
-#: Share of the varying text that the main element holds; pages and different pages from which equal text is template.
-SHARE, SAME_PAGES, DIFFERENT = 0.5, 20, 10
+#: Share of the varying text that the main element holds; share of the pages that have a template text; different
+#: pages that show what varies (one page can't).
+SHARE, SAME, DIFFERENT = 0.5, 0.9, 2
 #: Nameless siblings of different shape that are told apart by their number, at most.
 NUMBERED = 12
 
@@ -296,7 +297,8 @@ def align(a: list, b: list) -> list:
 
 
 def main_place(wrapper: list, pages: int, different: int) -> tuple[tuple[str, ...], tuple]:
-    """Path of the main element, and (path, digest) of the texts below it that are template."""
+    """Path of the main element; and, unless it is an article or main element, (path, digest) of the texts
+    below it that the pages share."""
     def varying(item: list) -> int:
         return max(0, item[CHARS] - 2 * item[LINKED])
 
@@ -321,36 +323,40 @@ def main_place(wrapper: list, pages: int, different: int) -> tuple[tuple[str, ..
                 break
             path, item = path + (child[KEY],), child
     same = []
-    if pages >= SAME_PAGES and different >= DIFFERENT:
+    if not best and different >= DIFFERENT:
         stack = [(item, path)]
         while stack:
             item, path_ = stack.pop()
             for c in item[CHILDREN] if item[GROUP] < 2 else []:
                 below = path_ + (c[KEY],)
-                if not c[CHILDREN] and c[SEEN] >= 0.9 * pages:
+                if not c[CHILDREN] and c[SEEN] >= SAME * pages:
                     same += [(below, d) for d in c[TEXTS]]
                 stack.append((c, below))
     return path, tuple(sorted(same))
 
 
 def text_at(page: Node, place: tuple[str, ...], same: frozenset) -> str | None:
-    """Text below a path, blocks joined by one space; None if the page lacks the path."""
+    """Text below a path, blocks joined by one space, without shared texts at its
+    start and end; None if the page lacks the path."""
     out: list[str] = []
 
-    def take(node: Node, path: tuple[str, ...]) -> None:
-        out.append(" ")
+    def take(node: Node, path: tuple[str, ...], shared: bool, found: list[tuple[str, bool]]) -> None:
+        found.append((" ", shared))
         for part in node.parts:
-            if not isinstance(part, Node):
-                out.append(part)
-                continue
-            below = path + (part.key,)
-            if not (same and (below, _digest(own_text(part))) in same):
-                take(part, below)
-        out.append(" ")
+            if isinstance(part, Node):
+                below = path + (part.key,)
+                take(part, below, shared or bool(same and (below, _digest(own_text(part))) in same), found)
+            else:
+                found.append((part, shared))
+        found.append((" ", shared))
 
     def find(node: Node, path: tuple[str, ...]) -> bool:
         if path == place:
-            take(node, path)
+            found: list[tuple[str, bool]] = []
+            take(node, path, False, found)
+            own = [k for k, (text, shared) in enumerate(found) if not shared and text.strip()]
+            out.extend(text for text, _ in (found[own[0]:own[-1] + 1] if own else []))
+            out.append(" ")
             return True
         return any([find(p, path + (p.key,)) for p in node.parts
                     if isinstance(p, Node) and place[len(path)] == p.key])

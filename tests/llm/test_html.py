@@ -108,3 +108,20 @@ def test_generated_names_keep_wrappers_small():
         w = html.page_wrapper(html.read_page(page))
         out = w if out is None else html.align(out, w)
         assert len(out[html.CHILDREN][0][html.CHILDREN]) <= html.ITEMS + 9
+
+
+def test_shared_text_by_one_rule_at_every_host_size(spark):
+    rnd, rows, want = random.Random(9), [], {}
+    for n in (5, 19, 21):
+        for k in range(n):
+            first, second = words(rnd, 20), words(rnd, 25)
+            for kind, (start, end) in {
+                "article": ("<article><p>Standing first line</p>", "<p>Standing last line</p></article>"),
+                "bare": ("<div><div>", "<p>Read more in our paper</p></div></div>"),
+            }.items():
+                page = f"<body>{start}<p>{first}</p><h2>Ingredients</h2><p>{second}</p>{end}</body>"
+                rows.append((len(rows), f"http://{kind}{n}.example/{k}", page, "", "", ""))
+                text = f"{first} Ingredients {second}"
+                want[rows[-1][0]] = f"Standing first line {text} Standing last line" if kind == "article" else text
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()}
+    assert got == want
