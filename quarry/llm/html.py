@@ -37,7 +37,7 @@ from quarry.llm.common import saved, small
 
 #: Parts of a host whose wrappers are aligned apart first; hosts held by a task before it passes them on.
 PARTS, HOSTS = 16, 1000
-#: Items of an element beyond which names no longer tell them apart; depth below which elements join their parent.
+#: Items of an element beyond which the rare ones lose their names; depth below which elements join their parent.
 ITEMS, DEPTH = 64, 80
 #: Share of the varying text that the main element holds; share of the pages that have a template text; different
 #: pages that show what varies (one page can't).
@@ -225,7 +225,7 @@ def own_text(node: Node) -> str:
 
 
 # A wrapper item: [key, pages that have it, repeated, digests of the texts that all of them have there (none: a slot),
-# characters, link characters, items, group (0: in order, 1: a repeated group of optional items, 2: names are lost)].
+# characters, link characters, items, group (0: in order, 1: a repeated group of optional items)].
 KEY, SEEN, REPEATED, TEXTS, CHARS, LINKED, CHILDREN, GROUP = range(8)
 
 
@@ -258,15 +258,30 @@ def _bare(key: str) -> str:
     return re.split(r"[.#:]", key)[0]
 
 
+#: Ends the key of items whose names are lost; no element of a page has such a key.
+LOST = " "
+
+
 def _folded(item: list) -> list:
-    """Beyond ITEMS children, only element names tell them apart (generated class names don't)."""
-    if len(item[CHILDREN]) > ITEMS and any(c[KEY] != _bare(c[KEY]) for c in item[CHILDREN]):
-        by: dict[str, list] = {}
-        for c in item[CHILDREN]:
-            c[KEY] = _bare(c[KEY])
-            by[c[KEY]] = align(by[c[KEY]], c) if c[KEY] in by else c
+    """Beyond ITEMS children, only element names tell the rare ones apart (generated class names don't).
+    Article and main elements, and children that most pages have, keep their keys, ITEMS / 2 at most."""
+    if len(item[CHILDREN]) <= ITEMS:
+        return item
+
+    def rank(c: list) -> tuple:
+        return _bare(c[KEY]) not in ("article", "main"), -c[SEEN], -c[CHARS], c[KEY]
+
+    named = [c for c in item[CHILDREN] if not c[KEY].endswith(LOST)]
+    common = [c for c in named if _bare(c[KEY]) in ("article", "main") or 2 * c[SEEN] > item[SEEN]]
+    own = {c[KEY] for c in sorted(common, key=rank)[:ITEMS // 2]}
+    by: dict[str, list] = {}
+    for c in item[CHILDREN]:
+        if c[KEY] not in own:
+            c[KEY] = _bare(c[KEY]).rstrip(LOST) + LOST
+        by[c[KEY]] = align(by[c[KEY]], c) if c[KEY] in by else c
+        if c[KEY].endswith(LOST):
             by[c[KEY]][REPEATED] = True
-        item[CHILDREN], item[GROUP] = list(by.values()), 2
+    item[CHILDREN], item[GROUP] = list(by.values()), 1
     return item
 
 
@@ -311,15 +326,14 @@ def main_place(wrapper: list, pages: int, different: int) -> tuple[tuple[str, ..
             rank = (tag == "article", len(path))
             if best is None or rank > best[0]:
                 best = (rank, path, item)
-        if item[GROUP] < 2:
-            stack += [(c, path + (c[KEY],)) for c in item[CHILDREN]]
+        stack += [(c, path + (c[KEY],)) for c in item[CHILDREN] if not c[KEY].endswith(LOST)]
     if best:
         path, item = best[1], best[2]
     else:
         path, item = (), wrapper
-        while item[GROUP] < 2:  # go down as long as one child holds nearly all of the text
+        while True:  # go down as long as one child holds nearly all of the text
             child = max(item[CHILDREN], key=varying, default=None)
-            if child is None or varying(child) < 0.8 * varying(item) or child[REPEATED]:
+            if child is None or varying(child) < 0.8 * varying(item) or child[REPEATED] or child[KEY].endswith(LOST):
                 break
             path, item = path + (child[KEY],), child
     same = []
@@ -327,7 +341,9 @@ def main_place(wrapper: list, pages: int, different: int) -> tuple[tuple[str, ..
         stack = [(item, path)]
         while stack:
             item, path_ = stack.pop()
-            for c in item[CHILDREN] if item[GROUP] < 2 else []:
+            for c in item[CHILDREN]:
+                if c[KEY].endswith(LOST):
+                    continue
                 below = path_ + (c[KEY],)
                 if not c[CHILDREN] and c[SEEN] >= SAME * pages:
                     same += [(below, d) for d in c[TEXTS]]

@@ -125,3 +125,23 @@ def test_shared_text_by_one_rule_at_every_host_size(spark):
                 want[rows[-1][0]] = f"Standing first line {text} Standing last line" if kind == "article" else text
     got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()}
     assert got == want
+
+
+def test_article_beside_many_named_siblings(spark):
+    rnd, rows, want = random.Random(10), [], {}
+    for k in range(60):
+        text = words(rnd, 60)
+        name = "".join(rnd.choice("abcdefgh") for _ in range(6))
+        side = "".join(f"<div class='{name}{c}'><p>{words(rnd, 6)}</p></div>" for c in "xyz")
+        for host, inner in (("article", f"<article><p>{text}</p></article>"), ("named", f"<div class='text'><p>{text}</p></div>")):
+            # the named element holds nearly all of the text
+            page = f"<body><div class=wrap>{side if host == 'article' else side[:side.index('</div>') + 6]}{inner}</div></body>"
+            rows.append((len(rows), f"http://{host}.example/{k}", page, "", "", ""))
+            want[rows[-1][0]] = text
+    for host, inner in (("article", "<article><p>{}</p></article>"), ("named", "<div class='text'><p>{}</p></div>")):
+        side = "".join(f"<div class='{''.join(rnd.choice('abcdefgh') for _ in range(6))}'><p>x</p></div>" for _ in range(70))
+        text = words(rnd, 60)  # a page with more than 64 names of its own
+        rows.append((len(rows), f"http://{host}.example/many", f"<body><div class=wrap>{side}{inner.format(text)}</div></body>", "", "", ""))
+        want[rows[-1][0]] = text
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()}
+    assert got == want
