@@ -177,3 +177,12 @@ def test_metrics_of_degenerate_labels(spark):
     assert one.areaUnderROC is None and one.areaUnderPR == 1.0
     flat = EV.regression_metrics(df.withColumnRenamed("rawPrediction", "prediction")).first()
     assert flat.r2 is None and flat.n == 2
+
+
+def test_checked_stop_words_are_the_whole_default_list(spark):
+    from quarry.plans import q_text
+
+    assert len(q_text.STOP_WORDS) == 181
+    assert q_text.STOP_WORDS == TX.default_stop_words("english")
+    assert "'don''t'" in q_text._stop_sql() or "don't" not in q_text.STOP_WORDS
+    assert "'i''ll'" in q_text._stop_sql()
