@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quarry.llm import bpe, chat, embeddings, fingerprints, html, lines, mixing, packing, quality, simhash, token_counts
+from quarry.llm import bpe, chat, embeddings, fingerprints, html, lines, mixing, packing, quality, simhash, suffixes, token_counts
 from quarry.llm.common import scratch, table
 from quarry.llm.sql import ORACLES
 
@@ -91,6 +91,11 @@ def op10_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses to documents of smaller id: strings of 50 bytes."""
+    return suffixes.removed_spans(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over the whole table."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -99,7 +104,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, QueryFn] = {
     f.__name__: f
     for f in (op1_extract_html, op2_mix_sources, op3_pack_best_fit, op4_token_counts, op5_document_fingerprints, op6_embedding_groups,
-              op7_quality_scores, op8_chat_prefix_targets, op9_line_dedup, op10_simhash_groups, pipeline)
+              op7_quality_scores, op8_chat_prefix_targets, op9_line_dedup, op10_simhash_groups, op11_suffix_dedup, pipeline)
 }
 
 
