@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quarry.llm import bpe, chat, embeddings, fingerprints, html, lines, mixing, packing, quality, simhash, suffixes, token_counts
+from quarry.llm import bpe, chat, embeddings, filter_audit, fingerprints, html, lines, merkle, mixing, packing, quality, simhash, suffixes, token_counts
 from quarry.llm.common import scratch, table
 from quarry.llm.sql import ORACLES
 
@@ -96,6 +96,16 @@ def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.removed_spans(table(spark, sf_dir, "documents"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes, per lang, in all 120 orders."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row's leaf, proof and root, and the root that its text leads to after tampering."""
+    return merkle.manifest(table(spark, sf_dir, "documents"), merkle.tampered())
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over the whole table."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -104,7 +114,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, QueryFn] = {
     f.__name__: f
     for f in (op1_extract_html, op2_mix_sources, op3_pack_best_fit, op4_token_counts, op5_document_fingerprints, op6_embedding_groups,
-              op7_quality_scores, op8_chat_prefix_targets, op9_line_dedup, op10_simhash_groups, op11_suffix_dedup, pipeline)
+              op7_quality_scores, op8_chat_prefix_targets, op9_line_dedup, op10_simhash_groups, op11_suffix_dedup, op12_filter_audit, op13_merkle_manifest, pipeline)
 }
 
 
