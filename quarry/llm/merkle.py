@@ -103,12 +103,12 @@ def _beside(digests: Column, k: Column) -> tuple[Column, Column]:
 
 
 def _linked(runs: DataFrame) -> DataFrame:
-    """Node rows of a level's runs: id, parent, digest, and the digests before and after it."""
+    """Node rows of a level's runs: id, parent, digest, and the digests before and after it (as bytes, half their size)."""
     rows = runs.select(
         _id("tree", F.col("level") + 1, F.col("up")).alias("parent"),
         F.transform("kids", lambda k: k["digest"]).alias("all"), F.posexplode("kids").alias("k", "kid"))
     before, after = _beside(F.col("all"), F.col("k"))
-    return rows.select("kid.id", "parent", "kid.digest", before.alias("before"), after.alias("after"), "kid.lo", "kid.hi")
+    return rows.select("kid.id", "parent", "kid.digest", F.unhex(before).alias("before"), F.unhex(after).alias("after"), "kid.lo", "kid.hi")
 
 
 def build(docs: DataFrame, changed: Column | None = None) -> Manifest:
@@ -152,10 +152,10 @@ def build(docs: DataFrame, changed: Column | None = None) -> Manifest:
 
 
 CLIMB = """WITH RECURSIVE climb(tree, run, share, at, folded, passed) AS (
-  SELECT tree, run, share, at, folded, '' FROM {starts}
+  SELECT tree, run, share, at, folded, X'' FROM {starts}
   UNION ALL
   SELECT c.tree, c.run, c.share, n.parent,
-         transform(c.folded, f -> sha2(concat(n.before, f, n.after), 256)), concat(c.passed, n.before, n.after)
+         transform(c.folded, f -> unhex(sha2(lower(hex(concat(n.before, f, n.after))), 256))), concat(c.passed, n.before, n.after)
   FROM climb c JOIN {steps} n ON n.id = c.at AND n.share = c.share)
 SELECT tree, run, folded, passed FROM climb WHERE at = {root}"""
 
@@ -165,11 +165,11 @@ ROWS = "spark.sql.cteRecursionRowLimit"
 
 def climb(made: Manifest) -> DataFrame:
     """Per run of leaves: the digests that its leaves fold to at the root (``folded``), and the siblings above the run
-    (``passed``)."""
+    (``passed``); digests as bytes."""
     spark = made.runs.sparkSession
     leaves, k = F.transform("kids", lambda x: x["leaf"]), F.col("n") > 1
-    folded = F.transform("kids", lambda x, i: F.when(k, F.sha2(F.concat(
-        _beside(leaves, i)[0], x["now"], _beside(leaves, i)[1]), 256)).otherwise(x["now"]))
+    folded = F.transform("kids", lambda x, i: F.unhex(F.when(k, F.sha2(F.concat(
+        _beside(leaves, i)[0], x["now"], _beside(leaves, i)[1]), 256)).otherwise(x["now"])))
     share = F.floor(F.expr(f"kids[0].at div {FAN}") / SHARE).cast("long")
     at = _id("tree", F.when(k, F.lit(1)).otherwise(F.lit(0)), F.col("run"))
     starts = saved(made.runs.select("tree", "run", share.alias("share"), at.alias("at"), folded.alias("folded")), "merkle-starts")
@@ -193,7 +193,7 @@ def manifest(docs: DataFrame, changed: Column | None = None) -> DataFrame:
     rows = rows.select("subroot", "folded", "passed", leaves.alias("leaves"), F.posexplode("kids").alias("k", "kid"))
     before, after = _beside(F.col("leaves"), F.col("k"))
     root = F.lit(made.root[1] if made.root else None).cast("string")
-    folded = F.get("folded", F.col("k"))
+    folded, passed = (F.lower(F.hex(c)) for c in (F.get("folded", F.col("k")), F.col("passed")))
     return rows.select(
-        "kid.doc_id", "kid.leaf", "subroot", root.alias("root"), F.sha2(F.concat(before, after, F.col("passed")), 256).alias("proof_sha256"),
+        "kid.doc_id", "kid.leaf", "subroot", root.alias("root"), F.sha2(F.concat(before, after, passed), 256).alias("proof_sha256"),
         folded.alias("folded_root"), (folded == root).alias("verified"))
