@@ -78,15 +78,36 @@ def regression_metrics(df: DataFrame, prediction: str = "prediction", label: str
     )
 
 
+def curve_points(scored: DataFrame, score: str, label: str) -> DataFrame:
+    """ROC and precision-recall points, one row per distinct score, from the highest: ``threshold, tp, fp, tpr, fpr,
+    precision`` of calling every row at or above the threshold positive.
+
+    Rows are counted per score first; running counts come from range partitions (``global_cumsums``), so neither a score
+    that holds a third of all rows nor the whole curve meets in one task.  Rows without score or label are left out; a
+    rate without rows to divide by is null."""
+    rows = scored.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    positive = (F.col(label) > 0).cast("long")
+    counts = rows.groupBy(F.col(score).cast("double").alias("threshold")).agg(
+        F.sum(positive).alias("__pos"), F.sum(1 - positive).alias("__neg"))
+    summed = global_cumsums(counts, [F.col("threshold").desc()], {"tp": "__pos", "fp": "__neg"}).checkpoint()
+    total = summed.agg(F.max("tp").alias("p"), F.max("fp").alias("n")).first()
+    rate = lambda c, n: F.try_divide(F.col(c).cast("double"), F.lit(n).cast("double"))
+    return summed.select(
+        "threshold", "tp", "fp", rate("tp", total["p"]).alias("tpr"), rate("fp", total["n"]).alias("fpr"),
+        (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"))
+
+
 def training_curves(model) -> dict:
-    """ROC and PR points, area under ROC and objective history of a binary
-    logistic regression fit, as DataFrames / numbers."""
+    """ROC and PR points, area under ROC, objective history and scored training
+    rows of a binary logistic regression fit, as DataFrames / numbers.  Points
+    are binned by the fit; ``curve_points`` of the scored rows has them all."""
     s = model.summary
     return {
         "roc": s.roc,
         "pr": s.pr,
         "areaUnderROC": s.areaUnderROC,
         "objectiveHistory": list(s.objectiveHistory),
+        "scored": s.predictions,
     }
 
 

@@ -8,6 +8,7 @@ flat ``(keys, pos, value)`` view of vector columns for checking.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -17,7 +18,8 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.shaping import exact_quantiles
+from quarry.operators.shaping import exact_quantiles, label_frequency
+from quarry.session import scratch_dir
 
 
 def vector_entries(col: str) -> Column:
@@ -136,6 +138,45 @@ def index_strings(
     return model, model.transform(df)
 
 
+def label_dictionary(df: DataFrame, col: str) -> DataFrame:
+    """``(value, count, index)`` of a column's texts, most frequent first, ties by text: the order of ``index_strings``,
+    as a table of its own in place of a list of labels in the driver and every task.  Nulls have no index."""
+    return label_frequency(df.where(F.col(col).isNotNull()), col)
+
+
+def encode_strings(
+    df: DataFrame, dictionary: DataFrame, col: str, out: str, handle_invalid: str = "error", hot_share: float = 0.001
+) -> DataFrame:
+    """``df`` with ``out``, the index of ``col`` in ``dictionary`` as a double.
+
+    Values that hold more than ``hot_share`` of the dictionary's rows (at most ``1 / hot_share`` of them) are joined by
+    broadcast, so no task gets a hot value's rows; all others by shuffle.  ``handle_invalid`` for nulls and values that
+    the dictionary lacks: ``error`` raises when the rows are read, ``skip`` drops them, ``keep`` gives them the next
+    free index."""
+    if handle_invalid not in ("error", "skip", "keep"):
+        raise ValueError(f"handle_invalid: {handle_invalid}")
+    scratch_dir(df.sparkSession)
+    dictionary = dictionary.select(F.col("value").alias("__value"), F.col("count"), F.col("index").cast("double").alias("__index")).checkpoint()
+    size = dictionary.agg(F.sum("count").alias("rows"), F.count("*").alias("labels")).first()
+    is_hot = F.col("count") > hot_share * (size["rows"] or 0)
+    hot = dictionary.where(is_hot).select(F.col("__value").alias("__hot"), F.col("__index").alias("__hot_index"))
+    rest = dictionary.where(~is_hot).select(F.concat(F.lit("v"), "__value").alias("__key"), "__index")
+    rows = df.withColumn("__text", F.col(col).cast("string"))
+    rows = rows.join(F.broadcast(hot), F.col("__text") == F.col("__hot"), "left")
+    # rows of hot values and nulls need no second look: keys of their own keep them from meeting in one task
+    needs = F.col("__hot").isNull() & F.col("__text").isNotNull()
+    spread = F.concat(F.lit("h"), F.pmod(F.monotonically_increasing_id(), F.lit(1 << 20)))
+    rows = rows.withColumn("__key", F.when(needs, F.concat(F.lit("v"), "__text")).otherwise(spread))
+    found = rows.join(rest, "__key", "left").withColumn(out, F.coalesce("__hot_index", "__index"))
+    found = found.select(*df.columns, out)
+    if handle_invalid == "skip":
+        return found.where(F.col(out).isNotNull())
+    if handle_invalid == "keep":
+        return found.withColumn(out, F.coalesce(out, F.lit(float(size["labels"]))))
+    message = F.concat(F.lit("no index for "), F.coalesce(F.col(col).cast("string"), F.lit("null")))
+    return found.withColumn(out, F.when(F.col(out).isNull(), F.raise_error(message).cast("double")).otherwise(F.col(out)))
+
+
 def unindex(df: DataFrame, col: str, out: str, labels: Sequence[str] | None = None) -> DataFrame:
     """Index -> text, from the column's ML metadata or explicit labels."""
     kw = {"labels": list(labels)} if labels is not None else {}
@@ -191,45 +232,55 @@ def poly_expand(df: DataFrame, col: str, out: str, degree: int = 2) -> DataFrame
     return MF.PolynomialExpansion(degree=degree, inputCol=col, outputCol=out).transform(df)
 
 
+def _label_counts(df: DataFrame, features: str, label: str) -> tuple[DataFrame, DataFrame, int]:
+    """Stored entries ``(feature, value, label, n)``, rows per label ``(label, label_total)``, and the vector's width.
+    Rows without label or vector are left out."""
+    rows = df.where(F.col(label).isNotNull() & F.col(features).isNotNull()).select(F.col(label).cast("string").alias("label"), features)
+    first = rows.select(F.size(vector_to_array(features)).alias("width") if _is_vector(df, features) else F.size(features).alias("width")).first()
+    stored = explode_vector(rows, ["label"], features, nonzero=True)
+    cells = stored.groupBy(F.col("pos").alias("feature"), "value", "label").agg(F.count(F.lit(1)).alias("n"))
+    return cells, rows.groupBy("label").agg(F.count(F.lit(1)).alias("label_total")), first["width"] if first else 0
+
+
 def contingency(df: DataFrame, features: str, label: str) -> DataFrame:
-    """Counts ``(feature, value, label, n)`` of a feature vector's positions
-    against the label; combined before the shuffle, so no label or value
-    needs a column or a driver entry of its own."""
-    cells = explode_vector(df, [label], features).select(
-        F.col("pos").alias("feature"), "value", F.col(label).cast("string").alias("label"))
-    return cells.groupBy("feature", "value", "label").agg(F.count(F.lit(1)).alias("n"))
-
-
-def _chi2_tail(x: float, dof: int) -> float:
-    """P(chi-squared with ``dof`` degrees of freedom > x): the regularised upper
-    incomplete gamma function at (dof / 2, x / 2), by series below its mean and
-    by continued fraction above."""
-    import math
-
-    a, z = dof / 2.0, x / 2.0
-    if z <= 0:
-        return 1.0
-    scale = math.exp(min(0.0, a * math.log(z) - z - math.lgamma(a)))
-    if z < a + 1:
-        term = total = 1.0 / a
-        n = a
-        while term > total * 1e-16:
-            n += 1
-            term *= z / n
-            total += term
-        return max(0.0, 1.0 - scale * total)
-    b, c = z + 1 - a, 1e300
-    d = 1 / b
-    h, i = d, 0
-    while True:
-        i += 1
-        b += 2
-        num = i * (a - i)
-        d = 1 / (num * d + b or 1e-300)
-        c = b + num / c or 1e-300
-        h *= d * c
-        if abs(d * c - 1) < 1e-15:
-            return scale * h
+    """Counts ``(feature, value, label, n)`` of a feature vector's positions against the label, zeros too.  Only stored
+    entries are exploded; the count of a zero is the label's rows less its stored ones."""
+    cells, labels, width = _label_counts(df, features, label)
+    grid = labels.withColumn("feature", F.explode(F.sequence(F.lit(0), F.lit(width - 1)))) if width else labels.withColumn("feature", F.lit(0))
+    stored = cells.groupBy("feature", "label").agg(F.sum("n").alias("stored"))
+    zeros = grid.join(stored, ["feature", "label"], "left").withColumn("n", F.col("label_total") - F.coalesce("stored", F.lit(0)))
+    return cells.unionByName(zeros.where("n > 0").select("feature", F.lit(0.0).alias("value"), "label", "n"))
+
+
+def _log_gamma(x: Column) -> Column:
+    """ln gamma(x) for x > 0: Stirling's series at x + 8, less the factors between."""
+    y = x + 8
+    series = 1 / (12 * y) - 1 / (360 * F.pow(y, 3)) + 1 / (1260 * F.pow(y, 5)) - 1 / (1680 * F.pow(y, 7))
+    between = sum((F.log(x + i) for i in range(1, 8)), F.log(x))
+    return (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + series - between
+
+
+def chi2_tail(x: Column, dof: Column) -> Column:
+    """P(chi-squared with ``dof`` degrees of freedom > x), as one expression: the regularised upper incomplete gamma
+    function at (a, z) = (dof / 2, x / 2).  Below the mean one less the power series of the lower function; above it the
+    upper sum, closed by the complementary error function for odd ``dof``.  Terms fall like exp(-n^2 / 2a), so some
+    times sqrt(a) of them do."""
+    a, z = dof.cast("double") / 2, x / 2
+    head = F.exp(a * F.log(z) - z - _log_gamma(a + 1))
+    most = (9 * F.sqrt(a) + 60).cast("int")
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(0.0).alias("total"))
+
+    def summed(n: Column, ratio) -> Column:
+        step = lambda s, i: F.struct((s["term"] * ratio(i)).alias("term"), (s["total"] + s["term"]).alias("total"))
+        return F.aggregate(F.sequence(F.lit(1), n), start, step)["total"]
+
+    lower = 1 - head * summed(most, lambda i: z / (a + i))
+    whole = F.floor(a).cast("int")  # terms of the upper sum: a - 1, a - 2 ... down to 0 or a half
+    upper = F.when(whole > 0, head * a / z * summed(F.least(whole, most), lambda i: (a - i) / z)).otherwise(0.0)
+    fraction = F.aggregate(F.sequence(F.lit(200), F.lit(1)), F.lit(1.0), lambda v, n: 1 + n / (2 * z) / v)
+    erfc = F.exp(-z) / (F.sqrt(z * math.pi) * fraction)
+    upper = upper + F.when(dof % 2 == 1, erfc).otherwise(0.0)
+    return F.when((dof <= 0) | (x <= 0), F.lit(1.0)).when(z < a + 1, F.greatest(lower, F.lit(0.0))).otherwise(upper)
 
 
 def chi2_test(df: DataFrame, features: str, label: str) -> DataFrame:
@@ -238,24 +289,31 @@ def chi2_test(df: DataFrame, features: str, label: str) -> DataFrame:
 
     The statistic is ``N * sum(n^2 / (row total * column total)) - N`` over the
     cells that occur (empty cells add nothing to that sum), so a label with as
-    many values as customers only makes more rows.  A feature or label with one
-    value has statistic 0 and p-value 1."""
-    cells = contingency(df, features, label)
-    rows = cells.groupBy("feature", "value").agg(F.sum("n").alias("row_total"))
-    cols = cells.groupBy("feature", "label").agg(F.sum("n").alias("col_total"))
+    many values as customers only makes more rows.  Only stored entries are
+    exploded and joined: with s stored rows of a label's c, its zero cell adds
+    (c - s)^2 / c, which sums to N - 2 * stored + sum(s^2 / c) over the labels.
+    A feature or label with one value has statistic 0 and p-value 1.  Rows
+    without label or vector are left out."""
+    cells, labels, width = _label_counts(df, features, label)
+    total = labels.agg(F.sum("label_total").alias("n"), F.count("*").alias("labels")).first()
+    size, n_labels = total["n"] or 0, total["labels"]
     n = F.col("n").cast("double")
-    joined = cells.join(rows, ["feature", "value"]).join(cols, ["feature", "label"])
-    parts = joined.groupBy("feature").agg(
-        F.sum("n").alias("total"), F.sum(n * n / (F.col("row_total").cast("double") * F.col("col_total"))).alias("s"))
-    sizes = rows.groupBy("feature").agg(F.count(F.lit(1)).alias("values")).join(
-        cols.groupBy("feature").agg(F.count(F.lit(1)).alias("labels")), "feature")
-    stats = parts.join(sizes, "feature").select(
-        F.col("feature").alias("featureIndex"),
-        ((F.col("values") - 1) * (F.col("labels") - 1)).alias("degreesOfFreedom"),
-        F.greatest(F.col("total") * F.col("s") - F.col("total"), F.lit(0.0)).alias("statistic"))
-    tail = F.udf(lambda x, dof: 1.0 if dof == 0 else _chi2_tail(x, dof), "double")  # one call per feature
+    joined = cells.join(labels, "label")
+    by_value = joined.groupBy("feature", "value").agg(
+        F.sum("n").alias("row_total"), F.sum(n * n / F.col("label_total")).alias("squares"))
+    by_label = joined.groupBy("feature", "label").agg(F.sum("n").alias("stored"), F.first("label_total").alias("label_total"))
+    of_zero = by_label.groupBy("feature").agg(
+        F.sum("stored").alias("stored"), F.sum(F.col("stored").cast("double") * F.col("stored") / F.col("label_total")).alias("zero_squares"))
+    values = by_value.groupBy("feature").agg(F.sum(F.col("squares") / F.col("row_total")).alias("s"), F.count("*").alias("values"))
+    every = df.sparkSession.range(width).select(F.col("id").cast("int").alias("feature"))
+    stats = every.join(values, "feature", "left").join(of_zero, "feature", "left").na.fill(0)
+    zeros = size - F.col("stored")
+    zero_part = F.when(zeros > 0, (size - 2 * F.col("stored") + F.col("zero_squares")) / zeros).otherwise(0.0)
+    dof = (F.col("values") + (zeros > 0).cast("long") - 1) * (n_labels - 1)
+    statistic = F.when(dof > 0, F.greatest(size * (F.col("s") + zero_part) - size, F.lit(0.0))).otherwise(0.0)
+    stats = stats.select(F.col("feature").alias("featureIndex"), statistic.alias("statistic"), dof.alias("degreesOfFreedom"))
     return stats.select(
-        "featureIndex", tail("statistic", "degreesOfFreedom").alias("pValue"),
+        "featureIndex", chi2_tail(F.col("statistic"), F.col("degreesOfFreedom")).alias("pValue"),
         F.col("degreesOfFreedom").cast("int").alias("degreesOfFreedom"), "statistic")
 
 

@@ -198,6 +198,24 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFram
     return row.selectExpr(f"stack({len(probs)}, {stack}) AS (p, value)")
 
 
+def approx_quantiles(
+    df: DataFrame, col: str, probs: Sequence[float], rank_error: float = 0.001, by: Sequence[str] = ()
+) -> DataFrame:
+    """Quantiles ``(by..., p, value, n)`` from a mergeable summary in one pass, per group of ``by``.
+
+    The rank of every value among the group's ``n`` is within ``rank_error * n`` of ``p * n``.  Partitions summarise
+    their rows and the summaries merge, so a group that holds a third of all rows is a few summaries; a summary's size
+    follows ``1 / rank_error``.  Nulls are left out; a group of nulls has value null and n 0; an empty table gives no
+    groups."""
+    if not 0 < rank_error < 1:
+        raise ValueError("0 < rank_error < 1")
+    probs = [float(p) for p in probs]
+    found = F.percentile_approx(F.col(col), F.array(*[F.lit(p) for p in probs]), F.lit(math.ceil(1 / rank_error)))
+    grouped = df.groupBy(*by).agg(found.alias("__q"), F.count(col).alias("n"))
+    pairs = F.explode(F.array(*[F.struct(F.lit(p).alias("p"), F.get("__q", F.lit(i)).alias("value")) for i, p in enumerate(probs)]))
+    return grouped.select(*by, pairs.alias("__r"), "n").select(*by, "__r.p", "__r.value", "n")
+
+
 def column_stats(df: DataFrame, vector_col: str) -> DataFrame:
     """Per position of a vector/array column: min, max, max |x|, mean, sample std."""
     from pyspark.ml.functions import vector_to_array

@@ -156,13 +156,13 @@ def f8_maxabs_scale(spark, sf):
 
 
 def product_weights(dim: int) -> list[float]:
-    """Scaling vector 10, 15, 20 repeated over the dimensions."""
-    return [10.0 + 5.0 * (i % 3) for i in range(dim)]
+    """Weights that rise by an eighth per dimension, from a half."""
+    return [0.5 + i / 8 for i in range(dim)]
 
 
 @register(
     "f9_elementwise_product",
-    with_(EMB) + "SELECT vec_id, pos::INTEGER AS pos, round(x * (10.0 + 5.0 * (pos % 3)), 4) + 0.0 AS value FROM emb",
+    with_(EMB) + "SELECT vec_id, pos::INTEGER AS pos, round(x * (0.5::DOUBLE + pos / 8), 4) + 0.0 AS value FROM emb",
 )
 def f9_elementwise_product(spark, sf):
     df = _emb_vectors(spark, sf)
@@ -191,6 +191,27 @@ def f11_index_strings(spark, sf):
     return out.select("p_partkey", "size_idx")
 
 
+CUSTOMER_INDEX = """lv AS (SELECT CAST(o_custkey AS VARCHAR) AS v,
+  row_number() OVER (ORDER BY count(*) DESC, CAST(o_custkey AS VARCHAR)) - 1 AS idx FROM orders {0} GROUP BY 1)
+SELECT o_orderkey, CAST(idx AS DOUBLE) AS customer_idx FROM orders JOIN lv ON CAST(o_custkey AS VARCHAR) = lv.v"""
+
+
+@register("f11_index_customers", "WITH " + CUSTOMER_INDEX.format(""))
+def f11_index_customers(spark, sf):
+    """Customer ids as categories: a dictionary table of any size, joined with the hot values apart."""
+    orders = td.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    out = FE.encode_strings(orders, FE.label_dictionary(orders, "o_custkey"), "o_custkey", "customer_idx")
+    return out.select("o_orderkey", "customer_idx")
+
+
+@register("f11_skip_unseen", "WITH " + CUSTOMER_INDEX.format("WHERE o_orderstatus = 'F'"))
+def f11_skip_unseen(spark, sf):
+    """A dictionary of the customers of finished orders; orders of other customers are skipped."""
+    orders = td.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    known = FE.label_dictionary(orders.where("o_orderstatus = 'F'"), "o_custkey")
+    return FE.encode_strings(orders, known, "o_custkey", "customer_idx", "skip").select("o_orderkey", "customer_idx")
+
+
 @register("f12_unindex", "SELECT p_partkey, p_type, p_type AS restored FROM part")
 def f12_unindex(spark, sf):
     _, idx = FE.index_strings(td.table(spark, sf, "part"), "p_type", "type_idx")
@@ -334,6 +355,19 @@ def f17_chi2_select(spark, sf):
     return res.select("featureIndex", _r4(F.col("statistic")).alias("statistic"), "degreesOfFreedom")
 
 
+@register(
+    "f17_contingency",
+    f"""WITH b AS (SELECT {CHI_LABEL} AS label, CAST(l_linenumber - 1 AS DOUBLE) AS f0, l_discount AS f1, l_tax AS f2 FROM lineitem),
+ lg AS (SELECT 0 AS feature, f0 AS value, label FROM b UNION ALL SELECT 1, f1, label FROM b UNION ALL SELECT 2, f2, label FROM b)
+SELECT feature, round(value, 4) + 0.0 AS value, CAST(label AS VARCHAR) AS label, count(*)::BIGINT AS n FROM lg GROUP BY ALL""",
+)
+def f17_contingency(spark, sf):
+    """Counts per feature, value and label; zeros follow from the labels' totals."""
+    lines = td.table(spark, sf, "lineitem").withColumn("label", F.expr(CHI_LABEL)).withColumn("place", F.col("l_linenumber") - 1)
+    df = FE.assemble(lines, ["place", "l_discount", "l_tax"], "features")
+    return FE.contingency(df, "features", "label").select("feature", _r4(F.col("value")).alias("value"), "label", "n")
+
+
 @register(
     "f17_chi2_selected",
     """SELECT o_orderkey, CAST(c_nationkey AS DOUBLE) AS value

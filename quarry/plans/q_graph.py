@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.scalar import epoch_seconds, parse_timestamp
 from quarry.operators import graph as G
+from quarry.operators.ordered_join import ordered_join
 from quarry.plans import testdata as td
 from quarry.plans.registry import register
 from quarry.plans.sqlparts import PART_CHAIN_EDGES, TRADE_EDGES, with_
@@ -128,9 +130,25 @@ def g6_timed_cycles(spark, sf):
 
 @register("j3_range_join", G6_SQL)
 def j3_range_join(spark, sf):
-    """Same query: the time-order predicates are residual conditions of the
-    (vertex, item) equi-joins."""
-    return G.timed_cycles(td.trade_graph(spark, sf), item="item", start="start_date", end="end_date")
+    """The same cycles by joins over buckets of time (``ordered_join``)."""
+    return G.ordered_cycles(td.trade_graph(spark, sf), item="item", start="start_date", end="end_date")
+
+
+@register(
+    "j3_soon_after",
+    with_(TRADE_EDGES)
+    + """SELECT a.order_key, a.line, b.order_key AS next_order, b.line AS next_line, (epoch(b.start_ts) - epoch(a.start_ts))::BIGINT AS gap_s
+FROM trade_edges a JOIN trade_edges b ON a.dst = b.src AND a.item = b.item
+WHERE a.start_ts < b.start_ts AND epoch(b.start_ts) <= epoch(a.start_ts) + 30 * 86400""",
+)
+def j3_soon_after(spark, sf):
+    """Trips of an item that go on from where another ended, starting at most 30 days after it."""
+    edges = td.trade_graph(spark, sf).edges.withColumn("at", epoch_seconds(parse_timestamp(F.col("start_date"), td.DATE_FMT)))
+    left = edges.select(F.col("dst").alias("place"), "item", "order_key", "line", "at")
+    right = edges.select(F.col("src").alias("place"), "item", F.col("order_key").alias("next_order"),
+                         F.col("line").alias("next_line"), F.col("at").alias("next_at"))
+    pairs = ordered_join(left, right, ["place", "item"], "at", "next_at", within=30 * 86400)
+    return pairs.select("order_key", "line", "next_order", "next_line", (F.col("next_at") - F.col("at")).alias("gap_s"))
 
 
 def _pagerank_sql(iters: int = 10, reset: float = 0.15) -> str:

@@ -73,6 +73,30 @@ def m1_logistic_regression(spark, sf):
     return inv.select("label", "n", "n_valid", (F.round(balance, 3) + 0.0).alias("balance"))
 
 
+def _area(points):
+    """Area under (fpr, tpr): trapezoids, each from the point before it in place of a sort of the whole curve."""
+    from quarry.operators.shaping import lead_within
+
+    start = points.sparkSession.createDataFrame([(0.0, 0.0)], "fpr double, tpr double")
+    one = points.unionByName(start).withColumn("curve", F.lit(0)).withColumn("at", F.struct("fpr", "tpr"))
+    steps = lead_within(one, ["curve"], ["fpr", "tpr"], "at", "next").where(F.col("next").isNotNull())
+    return steps.agg(F.sum((F.col("next.fpr") - F.col("fpr")) * (F.col("next.tpr") + F.col("tpr")) / 2)).first()[0]
+
+
+@register(
+    "m1b_curve_points",
+    f"""WITH c AS (SELECT l_extendedprice AS threshold, sum({LABEL_R}) AS pos, sum(1 - {LABEL_R}) AS neg FROM lineitem GROUP BY 1),
+ r AS (SELECT threshold, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER () AS p, sum(neg) OVER () AS n
+       FROM c WINDOW w AS (ORDER BY threshold DESC))
+SELECT threshold, tp::BIGINT AS tp, fp::BIGINT AS fp, round(tp / p, 4) + 0.0 AS tpr, round(fp / n, 4) + 0.0 AS fpr,
+  round(tp / (tp + fp), 4) + 0.0 AS precision FROM r""",
+)
+def m1b_curve_points(spark, sf):
+    """ROC and precision-recall points of the price as a score for returned lines, one per distinct price."""
+    points = E.curve_points(_lines(spark, sf), "l_extendedprice", "label")
+    return points.select("threshold", "tp", "fp", *[_r4(F.col(c)).alias(c) for c in ("tpr", "fpr", "precision")])
+
+
 @register(
     "m1b_training_curves",
     f"""SELECT sum(label)::BIGINT AS n_pos, sum(1 - label)::BIGINT AS n_neg, true AS curve_ok
@@ -88,7 +112,11 @@ def m1b_training_curves(spark, sf):
         F.min("FPR").alias("f0"), F.max("FPR").alias("f1"), F.min("TPR").alias("t0"), F.max("TPR").alias("t1"),
         F.bool_and(F.coalesce(F.col("TPR") >= F.col("prev"), F.lit(True))).alias("mono"),
     ).first()
-    curve_ok = bool(ok["f0"] == 0 and ok["t0"] == 0 and ok["f1"] == 1 and ok["t1"] == 1 and ok["mono"]
+    # the fit's scores, counted by curve_points, give the area that the fit states
+    scored = curves["scored"].select(F.element_at(vector_to_array("probability"), 2).alias("score"), "label")
+    points = E.curve_points(scored, "score", "label").select("fpr", "tpr")
+    area = _area(points)
+    curve_ok = bool(abs(area - curves["areaUnderROC"]) < 1e-3 and ok["f0"] == 0 and ok["t0"] == 0 and ok["f1"] == 1 and ok["t1"] == 1 and ok["mono"]
                     and 0.0 <= curves["areaUnderROC"] <= 1.0)
     return df.agg(
         F.sum(F.col("label").cast("long")).alias("n_pos"), F.sum((1 - F.col("label")).cast("long")).alias("n_neg")
@@ -467,33 +495,65 @@ def j4_factor_lookup(spark, sf):
     return scored.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.isnan("prediction")).alias("n_unseen"))
 
 
-def _recs_check(recs, key):
+def _recs_check(recs, subset, key, other):
+    """Per row of ``key``: how many it got, whether they fall in rating, and, for the ids that 50 divides, whether the
+    ratings are those of MLlib's own scoring of every pair."""
+    recs = recs.select(key, "rating", "rank")
+    plain = subset.select(key, F.posexplode("recommendations").alias("at", "r")).select(
+        key, (F.col("at") + 1).alias("rank"), F.col("r.rating").alias("expected"))
     w = Window.partitionBy(key).orderBy("rank")
-    steps = recs.withColumn("prev", F.lag("rating").over(w))
+    steps = recs.join(plain, [key, "rank"], "full").withColumn("prev", F.lag("rating").over(w))
+    close = F.abs(F.col("rating") - F.col("expected")) <= 1e-4 * (1 + F.abs("expected"))
+    exact = F.when(F.col(key) % 50 != 0, F.lit(True)).otherwise(F.coalesce(close, F.lit(False)))
     return steps.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n_recs"),
+        F.count("rating").alias("n_recs"),
         F.bool_and(F.coalesce(F.col("rating") <= F.col("prev"), F.lit(True))).alias("ordered"),
+        F.bool_and(exact).alias("exact"),
     )
 
 
+def _every_50th(ids, key):
+    return ids.select(F.col("id").alias(key)).where(F.col(key) % 50 == 0)
+
+
 @register(
     "c3_recommend_for_users",
     with_(*RATING_SETS)
-    + "SELECT DISTINCT userId, least(10, (SELECT count(DISTINCT movieId) FROM tr))::BIGINT AS n_recs, true AS ordered FROM tr",
+    + "SELECT DISTINCT userId, least(10, (SELECT count(DISTINCT movieId) FROM tr))::BIGINT AS n_recs, true AS ordered, "
+    "true AS exact FROM tr",
 )
 def c3_recommend_for_users(spark, sf):
     train, _ = _ratings_split(spark, sf)
-    return _recs_check(C.recommend_for_users(C.als_fit(train), 10), "userId")
+    model = C.als_fit(train)
+    plain = model.recommendForUserSubset(_every_50th(model.userFactors, "userId"), 10)
+    return _recs_check(C.recommend_for_users(model, 10), plain, "userId", "movieId")
 
 
 @register(
     "c4_recommend_for_items",
     with_(*RATING_SETS)
-    + "SELECT DISTINCT movieId, least(10, (SELECT count(DISTINCT userId) FROM tr))::BIGINT AS n_recs, true AS ordered FROM tr",
+    + "SELECT DISTINCT movieId, least(10, (SELECT count(DISTINCT userId) FROM tr))::BIGINT AS n_recs, true AS ordered, "
+    "true AS exact FROM tr",
 )
 def c4_recommend_for_items(spark, sf):
     train, _ = _ratings_split(spark, sf)
-    return _recs_check(C.recommend_for_items(C.als_fit(train), 10), "movieId")
+    model = C.als_fit(train)
+    plain = model.recommendForItemSubset(_every_50th(model.itemFactors, "movieId"), 10)
+    return _recs_check(C.recommend_for_items(model, 10), plain, "movieId", "userId")
+
+
+@register(
+    "c3_top_products",
+    """WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE embedding IS NOT NULL),
+ scored AS (SELECT q.vec_id, v.vec_id AS other, list_dot_product(q.e, v.e) AS s FROM v q JOIN v ON q.vec_id % 50 = 0),
+ placed AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(s, 9) DESC, other) AS place FROM scored)
+SELECT vec_id, other, place::INTEGER AS place, round(s, 4) + 0.0 AS score FROM placed WHERE place <= 10""",
+)
+def c3_top_products(spark, sf):
+    """The ten vectors of largest inner product for every vector whose id 50 divides, against all vectors."""
+    rows = td.table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"))
+    best = C.top_products(rows.where(F.col("id") % 50 == 0), rows, 10)
+    return best.select(F.col("id").alias("vec_id"), "other", "place", _r4(F.col("score")).alias("score"))
 
 
 @register(

@@ -211,6 +211,26 @@ def a5_quantiles(spark, sf):
     return P.exact_quantiles(td.table(spark, sf, "orders"), "o_totalprice", QUANTILE_PROBS)
 
 
+RANK_ERROR = 0.002
+
+
+@register(
+    "a5_approx_quantiles",
+    f"""SELECT o_orderpriority, unnest([{", ".join(f"{float(p)!r}::DOUBLE" for p in QUANTILE_PROBS)}]) AS p,
+  count(o_totalprice)::BIGINT AS n, true AS within FROM orders GROUP BY o_orderpriority""",
+)
+def a5_approx_quantiles(spark, sf):
+    """Quantiles per priority from mergeable summaries; ``within``: the value's ranks, counted, reach to the stated
+    error of the asked one."""
+    orders = td.table(spark, sf, "orders").select("o_orderpriority", "o_totalprice")
+    found = P.approx_quantiles(orders, "o_totalprice", QUANTILE_PROBS, RANK_ERROR, ["o_orderpriority"])
+    below, upto = F.count_if(F.col("o_totalprice") < F.col("value")), F.count_if(F.col("o_totalprice") <= F.col("value"))
+    ranked = orders.join(found, "o_orderpriority").groupBy("o_orderpriority", "p", "n").agg(below.alias("below"), upto.alias("upto"))
+    asked, error = F.col("p") * F.col("n"), F.ceil(F.col("n") * RANK_ERROR)
+    within = (F.col("below") < F.col("upto")) & (F.col("below") <= asked + error) & (F.col("upto") >= asked - error)
+    return ranked.select("o_orderpriority", "p", "n", within.alias("within"))
+
+
 EMB_UNNEST = """emb AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x,
   unnest(generate_series(0, len(embedding) - 1)) AS pos FROM embeddings)"""
 
