@@ -6,9 +6,10 @@ import numpy as np
 import pytest
 
 import corpus_pipeline as cp
-from quarry.llm import lines, packing, quality
+from quarry.llm import packing, quality
 
 from .test_lines import brute as brute_lines
+from .test_lines import near
 from .test_simhash import brute as brute_groups
 from .test_tokens import check_packing
 
@@ -39,10 +40,6 @@ def test_quality_stage(spark, stages):
 def test_line_stage(stages):
     before, after = stages["line_dedup"]
 
-    def near(a, b):
-        code = [np.frombuffer(s.encode("utf-32-le"), np.uint32) for s in (a, b)]
-        return 0 if lines.within(*code, min(2, min(len(a), len(b)) // 20)) else 99
-
     want, _ = brute_lines([(r.doc_id, r.text) for r in before], near=near)
     kept = {d: t for d, _, t in want if t.strip()}
     assert {r.doc_id: r.text for r in after} == kept
@@ -104,3 +101,26 @@ def test_run_equals_its_stages(spark, stages):
     got = cp.run(spark, SF).collect()
     assert sorted(got) == sorted(stages["best_fit_packing"][1])
     check_packing(got, [(r.doc_id, r.text) for r in stages["best_fit_packing"][0]], 1024, 2)
+
+
+ODD = [(None, None, None, None, None), (1, None, "en", "a", 0), (2, "", "en", "a", 0), (3, "one line that is long enough\none line that is long enough", "en", None, None),
+       (3, "one line that is long enough\none line that is long enough", "en", None, None), (3, "another text under the same id", "de", "b", 30),
+       (4, "word " * 30_000, "en", "a", 150_000), (5, "\n \n", None, "b", 3)]
+
+
+@pytest.mark.parametrize("rows", [ODD, []])
+def test_odd_and_empty_tables(spark, rows):
+    """Nulls in any column, empty and long texts, repeated rows and ids, clashing extra columns, no rows: every stage
+    runs, keeps the columns, and gives only rows it was given."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, line string, size long, piece int, fp long"
+    docs = spark.createDataFrame([(*r, "clash", 7, 7, 7) for r in rows], schema)
+    for name, stage in cp.STAGES:
+        after = cp.saved(stage(spark, docs, SF), "test")
+        got = after.collect()
+        if name == cp.STAGES[-1][0]:
+            assert sum(r.length for r in got) >= len(got) >= len(docs.collect())
+        else:
+            assert after.columns == docs.columns
+            assert {(r.doc_id, r.lang, r.source) for r in got} <= {(r.doc_id, r.lang, r.source) for r in docs.collect()}
+            assert all((r.line, r.size, r.piece, r.fp) == ("clash", 7, 7, 7) for r in got)
+        docs = after
