@@ -156,9 +156,15 @@ def founder(counts: dict[int, int], length: int, rnd: random.Random, plain: bool
     return best_fit(bins, {s: n - early.get(s, 0) for s, n in counts.items() if n > early.get(s, 0)}, length)
 
 
+def apart(people: DataFrame) -> DataFrame:
+    """``people`` with a partition per island, so that islands evolve side by side: a given number of range partitions
+    is not coalesced, and as many distinct islands as partitions part evenly."""
+    return people.repartitionByRange(ISLANDS, "island")
+
+
 def evolve(spark: SparkSession, counts: dict[int, int], length: int = LENGTH, seed: int = 5) -> Packing:
     """The best packing that the islands find for ``counts`` (length -> number of pieces)."""
-    schema = "island int, packing binary"
+    schema = "island int, packing binary, bins double, fill double"
     least = -(-sum(s * n for s, n in counts.items()) // length)
 
     def epoch(number: int):
@@ -179,17 +185,16 @@ def evolve(spark: SparkSession, counts: dict[int, int], length: int = LENGTH, se
                 people.append(crossover(mother, father, counts, length, rnd))
                 people = sorted(people, key=rated)[:POPULATION]
             people.sort(key=rated)
-            moved = [(island, pickle.dumps(p)) for p in people]
-            moved.append(((island + 1) % ISLANDS, pickle.dumps(people[0])))  # the elite moves on
-            return pd.DataFrame(moved, columns=["island", "packing"])
+            moved = [(island, pickle.dumps(p), *map(float, rated(p))) for p in people]
+            moved.append(((island + 1) % ISLANDS, *moved[0][1:]))  # the elite moves on
+            return pd.DataFrame(moved, columns=["island", "packing", "bins", "fill"])
 
         return run
 
     people = spark.range(ISLANDS).select(F.col("id").cast("int").alias("island"), F.lit(None).cast("binary").alias("packing"))
     for number in range(EPOCHS):
-        people = saved(people.groupBy("island").applyInPandas(epoch(number), schema), "island")
-    rate = F.udf(lambda p: list(map(float, fitness(pickle.loads(p), length))), "array<double>")
-    best = people.withColumn("fitness", rate("packing")).orderBy("fitness", "packing").first()
+        people = saved(apart(people).groupBy("island").applyInPandas(epoch(number), schema), "island")
+    best = people.orderBy("bins", "fill", "packing").first()
     return pickle.loads(best["packing"])
 
 

@@ -134,3 +134,13 @@ def test_islands_beat_or_equal_best_fit(spark):
     counts = {s: rnd.randint(1, 4) for s in rnd.sample(range(200, 700), 160)}
     best = packing.evolve(spark, counts, 1000)
     assert packing.fitness(best, 1000) <= packing.fitness(packing.best_fit([], counts, 1000), 1000)
+
+
+def test_islands_evolve_side_by_side(spark):
+    from pyspark.sql import functions as F
+
+    people = spark.range(packing.ISLANDS * 7).select((F.col("id") % packing.ISLANDS).cast("int").alias("island"))
+    tasks = packing.apart(people).select("island", F.spark_partition_id().alias("task")).distinct().collect()
+    assert len(tasks) == packing.ISLANDS and len({r.task for r in tasks}) > packing.ISLANDS // 2
+    evolved = packing.apart(people).groupBy("island").applyInPandas(lambda rows: rows, "island int")
+    assert evolved._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
