@@ -20,7 +20,7 @@ from itertools import islice
 import numpy as np
 
 #: Pieces kept between batches, and between tasks; pieces handed to the library at once, and as the words of a text.
-CACHED, KEPT, CHUNK, WORDS = 450_000, 250_000, 4096, 256
+CACHED, KEPT, CHUNK, WORDS = 700_000, 450_000, 4096, 128
 
 
 def locator(file: str) -> Callable[[], str]:
