@@ -4,16 +4,24 @@ one split, one boosting round, factor products, the fitted TF-IDF."""
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.feature import RFormula
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
+from quarry.operators import clustering as U
 from quarry.operators import features as FE
 from quarry.operators import models as M
 from quarry.operators import recommend as C
+from quarry.operators import shaping as P
 from quarry.operators import text as TX
+from quarry.operators import transfer as D
 from quarry.operators import tuning as T
-from quarry.plans import q_text
+from quarry.plans import q_models, q_text
 from quarry.plans import testdata as td
 from quarry.plans.q_models import LINE_FEATURES, RATING_SETS, _lines, _ratings_split
 from quarry.plans.registry import ORACLES, register
@@ -160,3 +168,130 @@ def m1_score_equations(spark, sf):
         value = _r(F.sum(F.col(col) * p) / F.sum(col), 3)
         parts.append(scored.agg(value.alias("value")).select(F.lit(i).alias("feature"), "value"))
     return parts[0].unionByName(parts[1])
+
+
+def _tree_columns(df, trees, name, column):
+    """``df`` with the column ``column`` of every tree of an ensemble, as name0, name1 ..."""
+    for i, tree in enumerate(trees):
+        own = {c: f"__{c}" for c in ("rawPrediction", "probability", "prediction") if c in tree.transform(df.limit(0)).columns}
+        scored = tree.transform(df.drop(*own))
+        df = scored.withColumn(f"{name}{i}", column).drop(*own)
+    return df
+
+
+def _near(a, b, tolerance=1e-9):
+    return F.abs(a - b) <= tolerance * (1 + F.abs(b))
+
+
+MORE_THAN_MAJORITY = "SELECT count(*)::BIGINT AS n, count(*)::BIGINT AS n_agree, true AS better FROM lineitem"
+
+
+def _against_majority(scored, agree):
+    """Rows, rows where ``agree`` holds, and whether more labels are right than by always naming the commoner."""
+    ones = F.sum("label")
+    right, most = F.count_if(F.col("prediction") == F.col("label")), F.greatest(ones, F.count(F.lit(1)) - ones)
+    return scored.agg(F.count(F.lit(1)).alias("n"), F.count_if(agree).alias("n_agree"), (right > most).alias("better"))
+
+
+@register("m3_forest_votes", MORE_THAN_MAJORITY)
+def m3_forest_votes(spark, sf):
+    """The forest's probability is the mean of its own trees' on every row."""
+    df = _lines(spark, sf, cols=["l_quantity", *FEW], label=LARGE)
+    model = M.random_forest_classifier(df, num_trees=5)
+    rows = _tree_columns(df, model.trees, "p", F.element_at(vector_to_array("probability"), 2))
+    scored = model.transform(rows)
+    mean = sum((F.col(f"p{i}") for i in range(1, 5)), F.col("p0")) / 5
+    varied = F.col("p0") != F.col("p1")  # trees that are all alike are no forest
+    kept = scored.agg(F.count_if(varied).alias("varied")).first()["varied"] > 0
+    return _against_majority(scored, _near(F.element_at(vector_to_array("probability"), 2), mean) & F.lit(kept))
+
+
+@register("r4_forest_mean", "SELECT count(*)::BIGINT AS n, count(*)::BIGINT AS n_agree, true AS better FROM lineitem")
+def r4_forest_mean(spark, sf):
+    """The regression forest predicts the mean of its own trees, and leaves less than the variance of the label."""
+    lines = td.table(spark, sf, "lineitem", spread_out=True).withColumn("label", F.col("l_extendedprice") / 1000 + 10 * F.col("l_quantity"))
+    df = FE.assemble(lines, ["l_quantity", "l_discount"], "features")
+    model = M.random_forest_regressor(df, num_trees=5)
+    scored = model.transform(_tree_columns(df, model.trees, "p", F.col("prediction")))
+    mean = sum((F.col(f"p{i}") for i in range(1, 5)), F.col("p0")) / 5
+    left = F.avg(F.pow(F.col("prediction") - F.col("label"), 2)) < 0.99 * F.var_pop("label")
+    return scored.agg(F.count(F.lit(1)).alias("n"), F.count_if(_near(F.col("prediction"), mean)).alias("n_agree"), left.alias("better"))
+
+
+@register("u2_bisecting_tightness", "SELECT count(*)::BIGINT AS n, 5::BIGINT AS clusters, true AS tighter FROM embeddings")
+def u2_bisecting_tightness(spark, sf):
+    """The clusters' rows are tighter about their own means than all rows are about one."""
+    df = td.embedding_vectors(spark, sf)
+    entries = FE.explode_vector(U.bisecting_kmeans(df, k=5).transform(df), ["prediction"], "features")
+    x = F.col("value")
+    stats = entries.groupBy("prediction", "pos").agg(F.sum(x).alias("s"), F.sum(x * x).alias("sq"), F.count("*").alias("n"))
+    spread = F.sum(F.col("sq") - F.col("s") * F.col("s") / F.col("n"))
+    whole = stats.groupBy("pos").agg(*[F.sum(c).alias(c) for c in ("s", "sq", "n")]).agg(spread.alias("total")).first()["total"]
+    return stats.agg(F.sum(F.when(F.col("pos") == 0, F.col("n"))).alias("n"), F.countDistinct("prediction").alias("clusters"),
+                     (spread < 0.99 * F.lit(whole)).alias("tighter"))
+
+
+@register("u3_mixture_columns", "SELECT count(*)::BIGINT AS n, count(*)::BIGINT AS n_prob_ok, true AS better FROM part")
+def u3_mixture_columns(spark, sf):
+    """A mixture on the columns given, size and price of parts: responsibilities sum to 1, and three components explain
+    the rows better than the one Gaussian of their means and covariances."""
+    part = td.table(spark, sf, "part", spread_out=True)
+    df = FE.assemble(part, ["p_size", "p_retailprice"], "features")
+    model = U.gaussian_mixture(df, k=3, max_iter=20)
+    one = part.agg(F.count("*").alias("n"), F.var_pop("p_size").alias("a"), F.var_pop("p_retailprice").alias("b"),
+                   F.covar_pop("p_size", "p_retailprice").alias("c")).first()
+    alone = -one["n"] / 2 * (2 * math.log(2 * math.pi) + math.log(one["a"] * one["b"] - one["c"] ** 2) + 2)
+    prob = vector_to_array("probability")
+    ok = (F.abs(F.aggregate(prob, F.lit(0.0), lambda a, b: a + b) - 1) < 1e-6) & (F.get(prob, F.col("prediction")) >= F.array_max(prob) - 1e-12)
+    return model.transform(df).agg(F.count(F.lit(1)).alias("n"), F.count_if(ok).alias("n_prob_ok")).withColumn(
+        "better", F.lit(bool(model.summary.logLikelihood > alone)))
+
+
+@register("c1_normal_equations", with_(*RATING_SETS) + "SELECT count(DISTINCT userId)::BIGINT AS n, count(DISTINCT userId)::BIGINT AS n_solved FROM tr")
+def c1_normal_equations(spark, sf):
+    """Every user's factors solve the least squares of the user's ratings on the item factors (the fit's last half
+    step): the gradient is nothing beside its parts."""
+    train, _ = _ratings_split(spark, sf)
+    reg = 0.01
+    model = C.als_fit(train, reg=reg)
+    user = model.userFactors.select(F.col("id").alias("userId"), F.col("features").cast("array<double>").alias("u"))
+    item = model.itemFactors.select(F.col("id").alias("movieId"), F.col("features").cast("array<double>").alias("v"))
+    rows = train.join(user, "userId").join(item, "movieId")
+    error = F.aggregate(F.zip_with("u", "v", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x) - F.col("rating")
+    parts = rows.select("userId", error.alias("e"), "rating", F.posexplode(F.arrays_zip("u", "v")).alias("pos", "x"))
+    sums = parts.groupBy("userId", "pos").agg(
+        F.sum(F.col("e") * F.col("x.v")).alias("g"), F.sum(F.abs(F.col("rating") * F.col("x.v"))).alias("size"),
+        F.count("*").alias("n"), F.first("x.u").alias("u"))
+    small = F.abs(F.col("g") + reg * F.col("n") * F.col("u")) <= 1e-3 * (F.col("size") + 1e-3)
+    return sums.groupBy("userId").agg(F.bool_and(small).alias("ok"), F.max(F.abs("u")).alias("most")).agg(
+        F.count("*").alias("n"), F.count_if(F.col("ok") & (F.col("most") > 0)).alias("n_solved"))
+
+
+@register("t3_best_point", "SELECT 12::BIGINT AS n_points, true AS is_best")
+def t3_best_point(spark, sf):
+    """The model that is kept has the settings of the grid point with the best metric."""
+    df = q_models._formula_frame(spark, sf)
+    train, _ = P.split_rows(df, [0.7, 0.3], "o_orderkey", seed=5)
+    rform, lr = RFormula(), LogisticRegression(labelCol="label", featuresCol="features")
+    base = "lab ~ . - o_orderkey + color:value1"
+    grid = T.param_grid([(rform.formula, [base, base + " + color:value2"]), (lr.elasticNetParam, [0.0, 0.5, 1.0]), (lr.regParam, [0.1, 2.0])])
+    evaluator = BinaryClassificationEvaluator(metricName="areaUnderROC", rawPredictionCol="rawPrediction", labelCol="label", numBins=0)
+    model = T.train_validation_split(T.pipeline([rform, lr]), grid, evaluator, train, train_ratio=0.75)
+    metrics = list(model.validationMetrics)
+    best = grid[max(range(len(metrics)), key=metrics.__getitem__)]
+    fitted_formula, fitted = model.bestModel.stages
+    kept = {lr.elasticNetParam: fitted.getElasticNetParam(), lr.regParam: fitted.getRegParam(), rform.formula: fitted_formula.getFormula()}
+    is_best = all(kept[p] == v for p, v in best.items()) and max(metrics) > 0.5 - 1e-9
+    return df.agg(F.lit(len(metrics)).cast("bigint").alias("n_points"), F.lit(is_best).alias("is_best"))
+
+
+@register("d3_counted_accuracy", f"SELECT count(*)::BIGINT AS n, true AS same FROM embeddings WHERE {q_models.STRAT} >= 60")
+def d3_counted_accuracy(spark, sf):
+    """The stated hold-out accuracy is the count over the scored rows."""
+    df = td.embedding_vectors(spark, sf)
+    train, test = D.label_and_split(df, "vec_id", "label")
+    model = D.embedding_classifier(train, max_iter=20, reg=0.001)
+    stated = D.holdout_accuracy(model, test).first()["accuracy"]
+    scored = model.transform(test).groupBy("label").agg(F.count("*").alias("n"), F.count_if(F.col("prediction") == F.col("label")).alias("right"))
+    return scored.agg(
+        F.sum("n").alias("n"), (F.abs(F.sum("right") / F.sum("n") - F.lit(stated)) < 1e-9).alias("same"))
