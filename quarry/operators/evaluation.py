@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.shaping import global_cumsums
+from quarry.operators.shaping import sums_by_value
 
 
 def binary_metrics(df: DataFrame, score: str = "rawPrediction", label: str = "label") -> DataFrame:
@@ -29,7 +29,7 @@ def binary_metrics(df: DataFrame, score: str = "rawPrediction", label: str = "la
     groups = df.select(s.alias("s"), (F.col(label).cast("double") > 0.5).cast("long").alias("y")).groupBy("s").agg(
         F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")
     )
-    ranked = global_cumsums(groups, [F.col("s").desc()], {"tp": "pos", "fp": "neg"})
+    ranked = sums_by_value(groups, "s", {"tp": "pos", "fp": "neg"}, descending=True)
     tp, fp = F.col("tp").cast("double"), F.col("fp").cast("double")
     tp0, fp0 = tp - F.col("pos"), fp - F.col("neg")
     prec = tp / (tp + fp)
@@ -82,14 +82,14 @@ def curve_points(scored: DataFrame, score: str, label: str) -> DataFrame:
     """ROC and precision-recall points, one row per distinct score, from the highest: ``threshold, tp, fp, tpr, fpr,
     precision`` of calling every row at or above the threshold positive.
 
-    Rows are counted per score first; running counts come from range partitions (``global_cumsums``), so neither a score
+    Rows are counted per score first; running counts come from range partitions (``sums_by_value``), so neither a score
     that holds a third of all rows nor the whole curve meets in one task.  Rows without score or label are left out; a
     rate without rows to divide by is null."""
     rows = scored.where(F.col(score).isNotNull() & F.col(label).isNotNull())
     positive = (F.col(label) > 0).cast("long")
     counts = rows.groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.sum(positive).alias("__pos"), F.sum(1 - positive).alias("__neg"))
-    summed = global_cumsums(counts, [F.col("threshold").desc()], {"tp": "__pos", "fp": "__neg"}).checkpoint()
+    summed = sums_by_value(counts, "threshold", {"tp": "__pos", "fp": "__neg"}, descending=True).checkpoint()
     total = summed.agg(F.max("tp").alias("p"), F.max("fp").alias("n")).first()
     rate = lambda c, n: F.try_divide(F.col(c).cast("double"), F.lit(n).cast("double"))
     return summed.select(

@@ -13,8 +13,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from quarry.functions.scalar import hash_share
 from quarry.session import scratch_dir
@@ -139,8 +141,70 @@ def global_cumsum(df: DataFrame, order: Sequence[Column | str], weight: Column |
 
 
 def global_index(df: DataFrame, order: Sequence[Column | str], name: str = "index") -> DataFrame:
-    """0-based position of each row in the total order ``order`` (distributed)."""
-    return global_cumsum(df, order, F.lit(1), name).withColumn(name, F.col(name) - 1)
+    """0-based position of each row in the total order ``order`` (distributed).
+
+    One range exchange: rows are sorted in their range and numbered by partition and place; a place is shifted by the
+    rows of earlier partitions (a table with one row per partition, broadcast)."""
+    spark = df.sparkSession
+    scratch_dir(spark)
+    nparts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    ranged = df.repartitionByRange(nparts, *order_cols).sortWithinPartitions(*order_cols)
+    numbered = ranged.withColumn("__row", F.monotonically_increasing_id()).checkpoint()  # partition << 33 | place
+    numbered = numbered.withColumn("__pid", F.shiftright("__row", 33))
+    sizes = numbered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__o"))
+    placed = numbered.join(F.broadcast(offsets), "__pid")
+    return placed.withColumn(name, F.col("__row") - F.shiftleft("__pid", 33) + F.col("__o")).drop("__pid", "__row", "__o")
+
+
+#: Ranges of values per shuffle partition: few ids hash unevenly, more of them even out.
+RANGES = 4
+
+
+def _in_ranges(df: DataFrame, col: str) -> DataFrame:
+    """``df``, checkpointed, with ``__rid``: the number of the row's range of the numeric column ``col``.
+
+    The bounds are quantiles of a mergeable summary.  Nulls come before all numbers and NaN after them, as Spark
+    sorts them."""
+    spark = df.sparkSession
+    scratch_dir(spark)
+    held = df.checkpoint()
+    ranges = RANGES * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    number = F.col(col).cast("double")
+    finite = F.when(~F.isnan(number) & (F.abs(number) < float("inf")), number)
+    found = held.agg(F.percentile_approx(finite, [i / ranges for i in range(1, ranges)], 10 * ranges).alias("q")).first()["q"]
+    bounds = sorted(set(found or [])) or [0.0]
+    splits = [float("-inf"), *bounds, float("inf")]
+    bucketed = Bucketizer(splits=splits, inputCol="__x", outputCol="__b", handleInvalid="keep").transform(held.withColumn("__x", number))
+    return bucketed.withColumn("__rid", F.when(F.col("__x").isNull(), -1).otherwise(F.col("__b").cast("int"))).drop("__x", "__b")
+
+
+def _range_offsets(ranged: DataFrame, weights: dict[str, str], descending: bool) -> DataFrame:
+    """Per range: the totals of its weights (``__t_*``) and those of the ranges before it (``__o_*``)."""
+    way = F.col("__rid").desc() if descending else F.col("__rid").asc()
+    before = Window.orderBy(way).rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("__rid").agg(*[F.sum(w).alias(f"__t_{n}") for n, w in weights.items()])
+    return totals.select("*", *[F.coalesce(F.sum(f"__t_{n}").over(before), F.lit(0)).alias(f"__o_{n}") for n in weights])
+
+
+def _range_sums(ranged: DataFrame, offsets: DataFrame, col: str, weights: dict[str, str], descending: bool) -> DataFrame:
+    """Running totals inside the ranges, shifted by the ranges before them: one exchange, on the range."""
+    way = F.col(col).desc() if descending else F.col(col).asc()
+    running = Window.partitionBy("__rid").orderBy(way).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ranged.select("*", *[F.sum(w).over(running).alias(f"__l_{n}") for n, w in weights.items()])
+    out = local.join(F.broadcast(offsets), "__rid")
+    out = out.withColumns({n: F.col(f"__o_{n}") + F.col(f"__l_{n}") for n in weights})
+    return out.drop("__rid", *[f"__{k}_{n}" for n in weights for k in "lto"])
+
+
+def sums_by_value(df: DataFrame, col: str, weights: dict[str, str], descending: bool = False) -> DataFrame:
+    """Running totals (one output column per entry of ``weights``) in the order of the numeric column ``col``, whose
+    values differ from row to row, with one exchange of the rows: ranges of values are numbered first, so that the
+    window runs in the layout that brings a range together."""
+    ranged = _in_ranges(df, col)
+    return _range_sums(ranged, _range_offsets(ranged, weights, descending), col, weights, descending)
 
 
 def lead_within(
@@ -172,30 +236,43 @@ def lead_within(
     return joined.withColumn(name, F.when(nxt.isNotNull() & same, nxt["value"])).drop("__pid", "__next", "__head")
 
 
+def _value_counts(df: DataFrame, col: str) -> DataFrame:
+    """Distinct values and ``cnt``: a value that holds a third of all rows is one row from here on."""
+    return df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("cnt"))
+
+
 def value_ranks(df: DataFrame, col: str) -> DataFrame:
-    """Distinct values of ``col`` with ``cnt`` and cumulative count ``cum``
-    (ascending).  Pre-aggregating by value first means a value that holds a
-    third of all rows is still one row here."""
-    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("cnt"))
+    """Distinct values of ``col`` with ``cnt`` and cumulative count ``cum`` (ascending)."""
+    counts = _value_counts(df, col)
+    if isinstance(df.schema[col].dataType, NumericType):
+        return sums_by_value(counts, col, {"cum": "cnt"})
     return global_cumsum(counts, [F.col(col).asc()], "cnt", "cum")
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
     """Exact quantiles ``(p, value)``: the smallest value whose cumulative
     count reaches ``max(1, ceil(p * N))`` (the nearest-rank definition, equal
-    to Spark's approxQuantile with relativeError 0)."""
-    ranks = value_ranks(df, col)
-    n = F.max("cum")
-    aggs = [n.alias("__n")]
-    stats = ranks.agg(*aggs).first()
-    total = stats["__n"] or 0
-    picks = []
-    for i, p in enumerate(probs):
-        r = max(1, math.ceil(p * total - 1e-12))
-        picks.append(F.min(F.when(F.col("cum") >= r, F.col(col))).alias(f"q{i}"))
-    row = ranks.agg(*picks)
+    to Spark's approxQuantile with relativeError 0).
+
+    Of a numeric column only the ranges that hold a wanted rank are sorted: their totals, one row per range, tell which."""
+    if isinstance(df.schema[col].dataType, NumericType):
+        ranged = _in_ranges(_value_counts(df, col), col)
+        offsets = _range_offsets(ranged, {"cum": "cnt"}, False)
+        held = offsets.select("__rid", "__o_cum", "__t_cum").collect()  # one row per range
+        total = sum(r["__t_cum"] for r in held)
+        wanted = [_rank(p, total) for p in probs]
+        some = [r["__rid"] for r in held if any(r["__o_cum"] < w <= r["__o_cum"] + r["__t_cum"] for w in wanted)]
+        ranks = _range_sums(ranged.where(F.col("__rid").isin(some)), offsets, col, {"cum": "cnt"}, False)
+    else:
+        ranks = value_ranks(df, col)
+        total = ranks.agg(F.max("cum").alias("n")).first()["n"] or 0
+    picks = [F.min(F.when(F.col("cum") >= _rank(p, total), F.col(col))).alias(f"q{i}") for i, p in enumerate(probs)]
     stack = ", ".join(f"{float(p)!r}D, q{i}" for i, p in enumerate(probs))
-    return row.selectExpr(f"stack({len(probs)}, {stack}) AS (p, value)")
+    return ranks.agg(*picks).selectExpr(f"stack({len(probs)}, {stack}) AS (p, value)")
+
+
+def _rank(p: float, total: int) -> int:
+    return max(1, math.ceil(p * total - 1e-12))
 
 
 def approx_quantiles(
