@@ -55,7 +55,7 @@ def test_count_vectors_vocabulary_order_and_idf(spark):
     first = weighted.where("doc_id = 0").select(vector_to_array("w")).first()[0]
     assert first[0] == pytest.approx(2 * math.log(4 / 3))
     assert first[1] == pytest.approx(1 * math.log(4 / 3))
-    fast = TX.tf_idf_from_vocabulary(out, "cv", "w2", vocab, df.count())
+    fast = TX.tf_idf_from_vocabulary(out, "cv", "w2", TX.fit_vocabulary(df, "tk", vocab_size=3, min_df=2))
     for r in fast.join(weighted.select("doc_id", "w"), "doc_id").collect():
         assert r.w2.toArray().tolist() == pytest.approx(r.w.toArray().tolist())
 
@@ -186,3 +186,33 @@ def test_checked_stop_words_are_the_whole_default_list(spark):
     assert q_text.STOP_WORDS == TX.default_stop_words("english")
     assert "'don''t'" in q_text._stop_sql() or "don't" not in q_text.STOP_WORDS
     assert "'i''ll'" in q_text._stop_sql()
+
+
+def test_vocabulary_counts_rows_in_the_same_scan(spark):
+    rows = [(0, ["plum", "fig", "fig", None]), (1, ["fig", "plum"]), (2, []), (3, None), (4, ["kiwi"])]
+    df = spark.createDataFrame(rows, "k int, tk array<string>")
+    vocab = TX.fit_vocabulary(df, "tk", vocab_size=2)
+    assert vocab.terms == [("fig", 3, 2), ("plum", 2, 2)] and vocab.n_docs == 5
+    assert TX.fit_vocabulary(df, "tk", min_df=0.3).terms == [("fig", 3, 2), ("plum", 2, 2)]
+    assert TX.fit_vocabulary(df, "tk", min_df=0.2).terms[-1] == ("kiwi", 1, 1)
+    none = TX.fit_vocabulary(df.where("k > 9"), "tk")
+    assert none.terms == [] and none.n_docs == 0
+    assert [tuple(r) for r in vocab.table(spark).orderBy("index").collect()] == [("fig", 3, 2, 0), ("plum", 2, 2, 1)]
+
+
+def test_word_vectors_do_not_depend_on_the_input_split(spark):
+    words = "tide reef kelp dune gull crab mist foam".split()
+    rows = [([words[(i * k + k) % 8] for k in range(1, 3 + i % 5)], i) for i in range(90)]
+    df = spark.createDataFrame(rows, "t array<string>, i int")
+
+    splits = df.repartition(2), df.orderBy(F.col("i").desc()).repartition(7), df.coalesce(1)
+
+    def layout(split):
+        return [[tuple(r.t) for r in part] for part in TX.sentence_layout(split.select("t"), "t", 3).rdd.glom().collect()]
+
+    def vectors(split):
+        model, _ = TX.word2vec(split, "t", "v", size=4, seed=5, num_partitions=1)
+        return {r.word: tuple(r.vector) for r in model.getVectors().collect()}
+
+    assert layout(splits[0]) == layout(splits[1]) == layout(splits[2])
+    assert vectors(splits[0]) == vectors(splits[1]) == vectors(splits[2])
