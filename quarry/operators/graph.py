@@ -12,6 +12,7 @@ last checkpoint.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.scalar import epoch_seconds, parse_timestamp, ratio
 from quarry.operators.ordered_join import ordered_join
-from quarry.session import scratch_dir
+from quarry.session import scratch_dir, stage_path
 
 
 @dataclass(frozen=True)
@@ -331,41 +332,73 @@ def ordered_cycles(
 # --------------------------------------------------------------------------- PageRank
 
 
+#: A source with more targets than this is a hub; there are at most ``HUBS`` of them.
+HUB_TARGETS, HUBS = 100_000, 100_000
+
+
+def _rank_weights(g: Graph, parts: int, hub_targets: int) -> tuple[str, DataFrame | None]:
+    """Edge weights ``(src, dst, wt)``, parallel edges collapsed: the name of a table with ``parts`` buckets of ``src``,
+    and the rows of hubs apart, which no bucket could hold (None without hubs)."""
+    spark = g.edges.sparkSession
+    pairs = g.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("w")).checkpoint()
+    out = pairs.groupBy("src").agg(F.sum("w").alias("__out"), F.count(F.lit(1)).alias("__targets")).checkpoint()
+    most = out.agg(F.sum("__targets").alias("n"), F.max("__targets").alias("most")).first()
+    limit = max(hub_targets, (most["n"] or 0) // HUBS)  # so at most HUBS sources are above it
+    weight = F.col("w") / F.col("__out")
+    plain = pairs.join(out.where(F.col("__targets") <= limit), "src").select("src", "dst", weight.alias("wt"))
+    name = f"quarry_rank_weights_{uuid.uuid4().hex}"
+    laid = plain.repartition(parts, "src").write.format("parquet").bucketBy(parts, "src").sortBy("src")
+    laid.option("path", stage_path(spark, name)).saveAsTable(name)
+    if (most["most"] or 0) <= limit:
+        return name, None
+    hubs = F.broadcast(out.where(F.col("__targets") > limit))
+    return name, pairs.join(hubs, "src").select("src", "dst", weight.alias("wt")).checkpoint()
+
+
+def _rank_round(ids: DataFrame, weights: DataFrame, hubs: DataFrame | None, ranks: DataFrame, reset: float) -> DataFrame:
+    """One round.  Ranks lie by the hash of ``id``, as the weights do by ``src``: only what the vertices hand on, summed
+    per target in every task first, is exchanged."""
+    given = ranks.withColumnRenamed("id", "src")
+    handed = weights.join(given, "src")
+    if hubs is not None:  # at most HUBS ranks
+        handed = handed.unionByName(hubs.join(F.broadcast(given.join(hubs.select("src").distinct(), "src", "left_semi")), "src"))
+    contrib = handed.groupBy("dst").agg(F.sum(F.col("rank") * F.col("wt")).alias("__in"))
+    return ids.join(contrib.withColumnRenamed("dst", "id"), "id", "left").select(
+        "id", (F.lit(reset) + F.lit(1.0 - reset) * F.coalesce(F.col("__in"), F.lit(0.0))).alias("rank")
+    )
+
+
 def pagerank(
     g: Graph,
     reset: float = 0.15,
     max_iter: int = 10,
     checkpoint_every: int = 3,
+    hub_targets: int = HUB_TARGETS,
 ) -> DataFrame:
     """Static PageRank: ranks start at 1, ``r = reset + (1-reset) * sum(r_src * w/outdeg_src)``.
 
     Parallel edges each count (they are collapsed once into a weight), ranks
     sum to ``|V|`` (rescaled at the end, which only matters with sinks).
     Returns the vertex table with a ``pagerank`` column.
+
+    The weights are written once as a table bucketed by source and never
+    exchanged again; sources with more than ``hub_targets`` targets are kept
+    apart and get their ranks by broadcast.
     """
-    scratch_dir(g.vertices.sparkSession)
-    ids = g.vertices.select("id").distinct().checkpoint()
+    spark = g.vertices.sparkSession
+    scratch_dir(spark)
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ids = g.vertices.select("id").distinct().repartition(parts, "id").checkpoint()
     n = ids.count()
-    pairs = g.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("w"))
-    outdeg = pairs.groupBy("src").agg(F.sum("w").alias("__out"))
-    weights = (
-        pairs.join(outdeg, "src")
-        .select("src", "dst", (F.col("w") / F.col("__out")).alias("wt"))
-        .checkpoint()
-    )
+    name, hubs = _rank_weights(g, parts, hub_targets)
+    weights = spark.table(name)
     ranks = ids.withColumn("rank", F.lit(1.0))
     for it in range(max_iter):
-        contrib = (
-            weights.join(ranks.withColumnRenamed("id", "src"), "src")
-            .groupBy("dst")
-            .agg(F.sum(F.col("rank") * F.col("wt")).alias("__in"))
-        )
-        ranks = ids.join(contrib.withColumnRenamed("dst", "id"), "id", "left").select(
-            "id", (F.lit(reset) + F.lit(1.0 - reset) * F.coalesce(F.col("__in"), F.lit(0.0))).alias("rank")
-        )
+        ranks = _rank_round(ids, weights, hubs, ranks, reset)
         if (it + 1) % checkpoint_every == 0 and it + 1 < max_iter:
             ranks = ranks.checkpoint()
     ranks = ranks.checkpoint()
+    spark.sql(f"DROP TABLE {name}")
     total = ranks.agg(F.sum("rank")).first()[0] or 1.0
     scaled = ranks.select("id", (F.col("rank") * F.lit(n / total)).alias("pagerank"))
     return g.vertices.join(scaled, "id")
@@ -374,6 +407,38 @@ def pagerank(
 # --------------------------------------------------------------------------- BFS
 
 
+def _meeting_levels(
+    hop: DataFrame, known: DataFrame, sources: DataFrame, targets: DataFrame, max_len: int
+) -> tuple[list[DataFrame], list[DataFrame], DataFrame | None]:
+    """Levels of vertex ids by their distance from the sources and to the targets, and the vertices where the two
+    searches first meet, which are on all shortest paths' middle level; None where no path of ``max_len`` exists."""
+    levels = [sources.checkpoint()], [targets.checkpoint()]
+    seen = [levels[0][0], levels[1][0]]
+    rows = [levels[0][0].count(), levels[1][0].count()]
+    ends = ("src", "dst"), ("dst", "src")
+    while min(rows) > 0 and len(levels[0]) + len(levels[1]) - 2 < max_len:
+        side = 0 if rows[0] <= rows[1] else 1
+        here, there = ends[side]
+        other = levels[1 - side][-1].select("id", F.lit(True).alias("__met"))
+        found = (
+            hop.join(levels[side][-1].withColumnRenamed("id", here), here, "left_semi")
+            .select(F.col(there).alias("id"))
+            .distinct()
+            .join(seen[side], "id", "left_anti")
+            .join(known, "id", "left_semi")
+            .join(other, "id", "left")
+            .checkpoint()
+        )
+        # one job answers both questions: how large is the level, does it meet the other side
+        stats = found.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("__met").isNotNull()).alias("met")).first()
+        rows[side] = stats["n"]
+        levels[side].append(found.select("id"))
+        if stats["met"] > 0:
+            return levels[0], levels[1], found.where(F.col("__met").isNotNull()).select("id")
+        seen[side] = seen[side].unionByName(levels[side][-1])  # a union of checkpointed levels: nothing is rewritten
+    return levels[0], levels[1], None
+
+
 def bfs(
     g: Graph,
     from_expr: str | Column,
@@ -387,10 +452,11 @@ def bfs(
     meeting both predicates gives a length-0 path (``from`` and ``to``).  No
     path within ``max_len`` gives an empty result.
 
-    The forward pass keeps only distinct vertex ids per level and removes
-    visited ones with an anti join, so each round touches the edge table once;
-    the backward pass keeps only edges that lie on a shortest path before the
-    paths are assembled.
+    The search runs from both ends and meets in the middle: each round takes
+    one more hop on the side whose frontier is smaller.  A level holds distinct
+    vertex ids, visited ones removed with an anti join, so each round touches
+    the edge table once; only edges that lie on a shortest path are kept before
+    the paths are assembled.
     """
     spark = g.vertices.sparkSession
     scratch_dir(spark)
@@ -404,48 +470,31 @@ def bfs(
         hit = g.vertices.join(both, "id", "left_semi")
         return hit.select(vstruct.alias("from"), vstruct.alias("to"))
 
-    known = g.vertices.select("id")
     hop = edges.select("src", "dst").distinct().checkpoint()
-    levels = [sources.checkpoint()]
-    visited = levels[0]
-    found = None
-    flagged_targets = targets.select("id", F.lit(True).alias("__t"))
-    for k in range(1, max_len + 1):
-        nxt = (
-            hop.join(levels[-1].withColumnRenamed("id", "src"), "src", "left_semi")
-            .select(F.col("dst").alias("id"))
-            .distinct()
-            .join(visited, "id", "left_anti")
-            .join(known, "id", "left_semi")
-            .join(flagged_targets, "id", "left")
-            .checkpoint()
-        )
-        # one job answers both questions: is the level empty, does it hold a target
-        stats = nxt.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("__t").isNotNull()).alias("hits")).first()
-        if stats["n"] == 0:
-            break
-        level = nxt.select("id")
-        levels.append(level)
-        if stats["hits"] > 0:
-            found = nxt.where(F.col("__t").isNotNull()).select("id")
-            break
-        visited = visited.unionByName(level)  # a union of checkpointed levels: nothing is rewritten
-    if found is None:
+    ahead, back, meet = _meeting_levels(hop, g.vertices.select("id"), sources, targets, max_len)
+    if meet is None:
         return g.vertices.select(vstruct.alias("from"), vstruct.alias("to")).where(F.lit(False))
 
-    length = len(levels) - 1
-    edge_cols = edges.columns
-    estruct = F.struct(*[F.col(c) for c in edge_cols])
-    on_path = [None] * (length + 1)
-    on_path[length] = found
+    # the vertices a shortest path may have at each place: forward levels up to the meeting, backward levels after it
+    at, length = len(ahead) - 1, len(ahead) + len(back) - 2
+    level = [*ahead[:at], meet, *back[-2::-1]]
+    estruct = F.struct(*[F.col(c) for c in edges.columns])
     steps: list[DataFrame] = [None] * length  # type: ignore[list-item]
-    for k in range(length, 0, -1):
-        step = edges.join(levels[k - 1].withColumnRenamed("id", "src"), "src", "left_semi").join(
-            on_path[k].withColumnRenamed("id", "dst"), "dst", "left_semi"
+
+    def between(k: int, here: DataFrame, there: DataFrame) -> DataFrame:
+        step = edges.join(here.withColumnRenamed("id", "src"), "src", "left_semi").join(
+            there.withColumnRenamed("id", "dst"), "dst", "left_semi"
         )
-        step = step.select(F.col("src").alias(f"__p{k - 1}"), F.col("dst").alias(f"__p{k}"), estruct.alias(f"e{k - 1}"))
-        steps[k - 1] = step.checkpoint()
-        on_path[k - 1] = steps[k - 1].select(F.col(f"__p{k - 1}").alias("id")).distinct()
+        return step.select(F.col("src").alias(f"__p{k}"), F.col("dst").alias(f"__p{k + 1}"), estruct.alias(f"e{k}")).checkpoint()
+
+    on_path = meet
+    for k in range(at - 1, -1, -1):
+        steps[k] = between(k, level[k], on_path)
+        on_path = steps[k].select(F.col(f"__p{k}").alias("id")).distinct()
+    on_path = meet
+    for k in range(at, length):
+        steps[k] = between(k, on_path, level[k + 1])
+        on_path = steps[k].select(F.col(f"__p{k + 1}").alias("id")).distinct()
 
     paths = steps[0]
     for k in range(1, length):
