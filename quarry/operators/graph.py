@@ -341,7 +341,7 @@ def _rank_weights(g: Graph, parts: int, hub_targets: int) -> tuple[str, DataFram
     and the rows of hubs apart, which no bucket could hold (None without hubs)."""
     spark = g.edges.sparkSession
     pairs = g.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("w")).checkpoint()
-    out = pairs.groupBy("src").agg(F.sum("w").alias("__out"), F.count(F.lit(1)).alias("__targets")).checkpoint()
+    out = pairs.groupBy("src").agg(F.sum("w").alias("__out"), F.count(F.lit(1)).alias("__targets"))
     most = out.agg(F.sum("__targets").alias("n"), F.max("__targets").alias("most")).first()
     limit = max(hub_targets, (most["n"] or 0) // HUBS)  # so at most HUBS sources are above it
     weight = F.col("w") / F.col("__out")
