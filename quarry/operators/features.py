@@ -10,15 +10,18 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml import feature as MF
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.shaping import exact_quantiles, label_frequency
+from quarry.operators.shaping import cached, exact_quantiles, label_frequency
 from quarry.session import scratch_dir
 
 
@@ -200,20 +203,51 @@ def fit_pca(df: DataFrame, col: str, k: int) -> MF.PCAModel:
     return MF.PCA(k=k, inputCol=col, outputCol="__pca").fit(df)
 
 
+@dataclass(frozen=True)
+class WideComponents:
+    """Components (``d x k``, sign-fixed, most variance first), their variances, the columns' means and the variance of
+    all columns together."""
+
+    loadings: np.ndarray
+    variances: np.ndarray
+    means: np.ndarray
+    total_variance: float
+
+
+def fit_pca_wide(df: DataFrame, col: str, k: int) -> WideComponents:
+    """Top-k principal components by Spark's decomposition of the centred rows as a distributed matrix.
+
+    From 100 columns on it multiplies the rows with a vector of the columns' width in every step, so neither the driver
+    nor a task ever holds a ``d x d`` matrix (fewer columns, or k beyond half of them: a matrix of that size on the
+    driver).  Centred rows are dense and kept (on disk where memory ends) while it runs.  Where the rows span
+    fewer, the components beyond have a variance of zero but for rounding, or are left out; null vectors are left out; no or one row: ``ValueError``."""
+    rows = df.where(F.col(col).isNotNull()).select((F.col(col) if _is_vector(df, col) else array_to_vector(F.col(col).cast("array<double>"))).alias("x"))
+    n = rows.count()
+    if n < 2:
+        raise ValueError("components need two rows or more")
+    scaler = MF.StandardScaler(withMean=True, withStd=False, inputCol="x", outputCol="c").fit(rows)
+    centred = MLUtils.convertVectorColumnsFromML(scaler.transform(rows).select("c"), "c")
+    with cached(centred) as held:
+        svd = RowMatrix(held, n, len(scaler.mean)).computeSVD(k, computeU=False)
+    s = np.array(svd.s.toArray())
+    return WideComponents(_signed(svd.V.toArray()), s * s / (n - 1), scaler.mean.toArray(), float(np.square(scaler.std.toArray()).sum()))
+
+
+def _signed(pc: np.ndarray) -> np.ndarray:
+    """Components whose loading of largest magnitude is positive."""
+    largest = pc[np.argmax(np.abs(pc), axis=0), np.arange(pc.shape[1])]
+    return pc * np.where(largest < 0, -1.0, 1.0)
+
+
 def pca_loadings(model: MF.PCAModel) -> np.ndarray:
     """``d x k`` loadings with a fixed sign: the largest-magnitude loading of
     every component is positive."""
-    pc = model.pc.toArray().copy()
-    for j in range(pc.shape[1]):
-        i = int(np.argmax(np.abs(pc[:, j])))
-        if pc[i, j] < 0:
-            pc[:, j] = -pc[:, j]
-    return pc
+    return _signed(model.pc.toArray())
 
 
-def pca_project(df: DataFrame, col: str, model: MF.PCAModel, out: str) -> DataFrame:
+def pca_project(df: DataFrame, col: str, model: MF.PCAModel | WideComponents, out: str) -> DataFrame:
     """Project (uncentred) rows on the sign-fixed components, as JVM expressions."""
-    pc = pca_loadings(model)
+    pc = model.loadings if isinstance(model, WideComponents) else pca_loadings(model)
     x = vector_to_array(F.col(col)) if _is_vector(df, col) else F.col(col).cast("array<double>")
     comps = []
     for j in range(pc.shape[1]):

@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.ml.feature import PCAModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from quarry import sources as S
@@ -305,6 +306,34 @@ def f15_pca_full(spark, sf):
     return squares(df, FE.fit_pca(df, "features", width), width)
 
 
+WIDE_K = 5
+
+
+@register(
+    "f15_pca_wide",
+    f"""SELECT CAST(pos - 1 AS INTEGER) AS pos, round(var_samp(x), 6) + 0.0 AS variance, {WIDE_K}::BIGINT AS held
+FROM (SELECT unnest(range(1, len(embedding) + 1)) AS pos, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings) GROUP BY pos""",
+)
+def f15_pca_wide(spark, sf):
+    """Per column of the embeddings its variance, and for how many components of length 1 the column's covariance with
+    the projected rows is the component's variance times its loading, which is what makes it a principal component."""
+    df, _ = whole_vectors(spark, sf)
+    fit = FE.fit_pca_wide(df, "features", WIDE_K)
+    turned = FE.pca_project(df, "features", fit, "t").select(vector_to_array("features").alias("x"), vector_to_array("t").alias("t"))
+    cells = turned.select(F.posexplode("x").alias("pos", "v"), "t")
+    moments = cells.groupBy("pos").agg(
+        F.var_samp("v").alias("variance"), *[F.covar_samp("v", F.get("t", F.lit(j))).alias(f"c{j}") for j in range(WIDE_K)])
+    expected = spark.createDataFrame(
+        [(i, *map(float, row)) for i, row in enumerate(fit.loadings * fit.variances)],
+        ["pos", *[f"e{j}" for j in range(WIDE_K)]])  # one row per column
+    unit = [bool(abs(float((fit.loadings[:, j] ** 2).sum()) - 1) < 1e-9) for j in range(fit.loadings.shape[1])]
+    held = sum(
+        ((F.abs(F.col(f"c{j}") - F.col(f"e{j}")) < 1e-9) & (F.lit(float(fit.variances[j])) > 0) & F.lit(unit[j])).cast("long")
+        for j in range(len(unit)))
+    return moments.join(expected, "pos").select(
+        F.col("pos").cast("int").alias("pos"), (F.round("variance", 6) + 0.0).alias("variance"), held.alias("held"))
+
+
 @register("k3_save_load_model", SQUARES_SQL)
 def k3_save_load_model(spark, sf):
     """A fitted model of the whole vectors, saved, loaded and applied."""
