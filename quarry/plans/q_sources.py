@@ -7,6 +7,8 @@ oracle reads the original table.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from quarry import sources as S
@@ -15,6 +17,7 @@ from quarry.plans import testdata as td
 from quarry.plans.registry import register
 from quarry.plans.sqlparts import TRADE_EDGES, with_
 from quarry.plans.staging import stage
+from quarry.session import stage_path
 
 CUSTOMER_SCHEMA = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
 
@@ -181,20 +184,26 @@ FROM embeddings""",
 )
 def s8_read_images(spark, sf):
     """Images rendered from the embeddings (one folder per label), decoded by
-    Spark's image source; label and id come back from the file path."""
+    Spark's image source; label and id come back from the file path.  Each batch
+    of images is listed, decoded and stored before the next, so that the
+    driver never holds the list of all files."""
     from quarry.plans.staging import stage_embedding_images
 
-    root = stage_embedding_images(spark, sf, td.table(spark, sf, "embeddings"))
-    img = S.read_images(spark, root)
     # byte i of the pixel buffer as a number (the check sums them)
     pixels = F.expr(
         "transform(sequence(1, length(image.data)), i -> CAST(conv(hex(substring(image.data, i, 1)), 16, 10) AS BIGINT))"
     )
-    return img.select(
+    columns = [
         F.regexp_extract("image.origin", r"/(\d+)\.png$", 1).cast("bigint").alias("vec_id"),
         F.regexp_extract("label", r"label_(\d+)", 1).cast("int").alias("label"),
         F.col("image.width").alias("width"),
         F.col("image.height").alias("height"),
         F.col("image.nChannels").alias("n_channels"),
         F.aggregate(pixels, F.lit(0).cast("bigint"), lambda a, v: a + v).alias("pixel_sum"),
-    )
+    ]
+    tasks = 4 * spark.sparkContext.defaultParallelism  # Spark plans a task for some 32 small files
+    out = stage_path(spark, f"decoded-{uuid.uuid4().hex}")
+    schema = "vec_id bigint, label int, width int, height int, n_channels int, pixel_sum bigint"
+    for folder in stage_embedding_images(spark, sf, td.table(spark, sf, "embeddings", spread_out=True)):
+        S.write_table(S.read_images(spark, folder).select(*columns).coalesce(tasks), out, mode="append")
+    return spark.read.schema(schema).parquet(out)

@@ -4,12 +4,17 @@ checked against tables they were derived from."""
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarry.session import is_local, stage_path
+from quarry.session import stage_path
 from quarry.sources.files import write_table
 
+#: Images of a batch: as many files as one read lists on the driver.
+IMAGES = 50_000
+
 
 def stage(spark: SparkSession, sf_dir: str, name: str, df: DataFrame, fmt: str, **options) -> str:
     """Write ``df`` under ``<checkpoint dir>/stage/<name>-<sf hash>`` and return the path."""
@@ -19,9 +24,26 @@ def stage(spark: SparkSession, sf_dir: str, name: str, df: DataFrame, fmt: str,
     return write_table(df, path, fmt=fmt, partition_by=partition_by, **options)
 
 
-def stage_embedding_images(spark: SparkSession, sf_dir: str, embeddings: DataFrame, side: int = 8) -> str:
-    """Render each embedding row as a ``side`` x ``side`` grayscale PNG under
-    ``<stage>/images/<label>/<vec_id>.png`` (one folder per class).
+def as_uri(spark: SparkSession, path: str) -> str:
+    """``path`` as a URI: a path without a scheme lies in the file system that Spark's own readers take it from."""
+    if path.startswith("file:"):
+        return "file://" + path.removeprefix("file:").removeprefix("//")
+    if ":" in path.split("/")[0]:
+        return path
+    store = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    return store.rstrip("/") + path if not store.startswith("file:") else "file://" + path
+
+
+def stage_embedding_images(
+    spark: SparkSession, sf_dir: str, embeddings: DataFrame, side: int = 8, batch: int = IMAGES
+) -> list[str]:
+    """Render each embedding row as a ``side`` x ``side`` grayscale PNG
+    ``<stage>/images/batch_<n>/label_<label>/<vec_id>.png`` (one folder per
+    class) and return the folders of the batches.
+
+    Rows are dealt by a hash of ``vec_id`` into batches of about ``batch``
+    images, so that a reader can list one batch after the other: Spark's driver
+    holds a record of every file of a read.
 
     Pixel ``i`` is ``clamp(floor((x_i + 1) * 127.5), 0, 255)`` of its
     ``side * side`` values; vectors of another length are refused.  Files are written by the tasks themselves
@@ -29,10 +51,9 @@ def stage_embedding_images(spark: SparkSession, sf_dir: str, embeddings: DataFra
     retried task rewrites the same file names.
     """
     tag = hashlib.md5(sf_dir.encode()).hexdigest()[:8]
-    root = stage_path(spark, f"images-{tag}")
-    if ":" not in root and not is_local(spark):
-        raise ValueError("name spark.checkpoint.dir as a URI, so that tasks write where Spark reads")
-    uri = "file://" + root.removeprefix("file:").removeprefix("//") if ":" not in root or root.startswith("file:") else root
+    root = stage_path(spark, f"images-{tag}-{uuid.uuid4().hex}")
+    uri = as_uri(spark, root)
+    batches_wanted = max(1, -(-embeddings.count() // batch))
     n = side * side
 
     # The task function is self-contained (stdlib, numpy, pandas, pyarrow only),
@@ -59,19 +80,20 @@ def stage_embedding_images(spark: SparkSession, sf_dir: str, embeddings: DataFra
 
         filesystem, base = pafs.FileSystem.from_uri(uri)
         for pdf in batches:
-            for label in pdf["label"].unique():
-                filesystem.create_dir(f"{base}/label_{int(label)}", recursive=True)
-            for vec_id, label, emb in zip(pdf["vec_id"], pdf["label"], pdf["embedding"]):
+            for number, label in pdf[["batch", "label"]].drop_duplicates().itertuples(index=False):
+                filesystem.create_dir(f"{base}/batch_{int(number)}/label_{int(label)}", recursive=True)
+            for number, vec_id, label, emb in zip(pdf["batch"], pdf["vec_id"], pdf["label"], pdf["embedding"]):
                 x = np.asarray(emb, dtype=np.float32).astype(np.float64)
                 if len(x) != n:
                     raise ValueError(f"vector {vec_id} has {len(x)} values; an image of side {side} needs {n}")
                 px = np.clip(np.floor((x + 1.0) * 127.5), 0, 255).astype(np.uint8).tobytes()
-                folder = f"{base}/label_{int(label)}"
+                folder = f"{base}/batch_{int(number)}/label_{int(label)}"
                 with filesystem.open_output_stream(f"{folder}/{int(vec_id)}.png") as f:
                     f.write(_png_gray(side, side, px))
             yield pd.DataFrame({"written": [len(pdf)]})
 
-    embeddings.select("vec_id", "label", "embedding").mapInPandas(write, "written long").agg(
-        {"written": "sum"}
-    ).collect()
-    return root
+    number = F.pmod(F.xxhash64("vec_id"), F.lit(batches_wanted)).cast("int").alias("batch")
+    rows = embeddings.select(number, "vec_id", "label", "embedding")
+    made = rows.select("batch").distinct().orderBy("batch").collect()
+    rows.mapInPandas(write, "written long").agg({"written": "sum"}).collect()
+    return [f"{root}/batch_{r['batch']}" for r in made]
