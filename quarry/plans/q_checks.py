@@ -5,6 +5,7 @@ one split, one boosting round, factor products, the fitted TF-IDF."""
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -26,12 +27,20 @@ from quarry.plans import testdata as td
 from quarry.plans.q_models import LINE_FEATURES, RATING_SETS, _lines, _ratings_split
 from quarry.plans.registry import ORACLES, register
 from quarry.plans.sqlparts import with_
+from quarry.session import stage_path
+from quarry.sources.files import write_table
 
 
 def _r(c, digits):
     return F.round(c, digits) + F.lit(0.0)
 
 
+def _stored_split(spark, sf):
+    """The ratings' split over stored ratings, for queries that read both its sides or one of them twice."""
+    path = write_table(td.ratings(spark, sf), stage_path(spark, f"ratings-{uuid.uuid4().hex}"))
+    return q_models._split_ratings(spark.read.parquet(path))
+
+
 # One standardised feature: the slope is the correlation, shrunk by the L1 part and scaled by the L2 part of the
 # penalty (both in units of the label's deviation).
 SHRUNK = """WITH d AS (SELECT l_quantity AS x, l_extendedprice / 10000 AS y FROM lineitem),
@@ -251,20 +260,24 @@ def u3_mixture_columns(spark, sf):
 def c1_normal_equations(spark, sf):
     """Every user's factors solve the least squares of the user's ratings on the item factors (the fit's last half
     step): the gradient is nothing beside its parts."""
-    train, _ = _ratings_split(spark, sf)
+    train, _ = _stored_split(spark, sf)
     reg = 0.01
     model = C.als_fit(train, reg=reg)
-    user = model.userFactors.select(F.col("id").alias("userId"), F.col("features").cast("array<double>").alias("u"))
-    item = model.itemFactors.select(F.col("id").alias("movieId"), F.col("features").cast("array<double>").alias("v"))
-    rows = train.join(user, "userId").join(item, "movieId")
-    error = F.aggregate(F.zip_with("u", "v", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x) - F.col("rating")
-    parts = rows.select("userId", error.alias("e"), "rating", F.posexplode(F.arrays_zip("u", "v")).alias("pos", "x"))
-    sums = parts.groupBy("userId", "pos").agg(
-        F.sum(F.col("e") * F.col("x.v")).alias("g"), F.sum(F.abs(F.col("rating") * F.col("x.v"))).alias("size"),
-        F.count("*").alias("n"), F.first("x.u").alias("u"))
-    small = F.abs(F.col("g") + reg * F.col("n") * F.col("u")) <= 1e-3 * (F.col("size") + 1e-3)
-    return sums.groupBy("userId").agg(F.bool_and(small).alias("ok"), F.max(F.abs("u")).alias("most")).agg(
-        F.count("*").alias("n"), F.count_if(F.col("ok") & (F.col("most") > 0)).alias("n_solved"))
+    user = model.userFactors.select(F.col("id").alias("userId"), F.col("features").alias("u"))
+    item = model.itemFactors.select(F.col("id").alias("movieId"), F.col("features").alias("v"))
+    # the ratings meet their items first: what is then dealt out by user is added up where it lies
+    rows = train.join(item, "movieId").join(user, "userId")
+    x = [(F.get("u", F.lit(i)).cast("double"), F.get("v", F.lit(i)).cast("double")) for i in range(model.rank)]
+    error = sum((a * b for a, b in x), F.lit(0.0)) - F.col("rating")
+    sums = rows.withColumn("e", error).groupBy("userId").agg(
+        F.count("*").alias("n"), *[F.max(a).alias(f"u{i}") for i, (a, _) in enumerate(x)],
+        *[F.sum(F.col("e") * b).alias(f"g{i}") for i, (_, b) in enumerate(x)],
+        *[F.sum(F.abs(F.col("rating") * b)).alias(f"size{i}") for i, (_, b) in enumerate(x)])
+    ok, most = F.lit(True), F.lit(0.0)
+    for i in range(model.rank):
+        ok = ok & (F.abs(F.col(f"g{i}") + reg * F.col("n") * F.col(f"u{i}")) <= 1e-3 * (F.col(f"size{i}") + 1e-3))
+        most = F.greatest(most, F.abs(f"u{i}"))
+    return sums.agg(F.count("*").alias("n"), F.count_if(ok & (most > 0)).alias("n_solved"))
 
 
 @register("t3_best_point", "SELECT 12::BIGINT AS n_points, true AS is_best")

@@ -443,7 +443,10 @@ RATING_SETS = [
 
 
 def _ratings_split(spark, sf):
-    r = td.ratings(spark, sf)
+    return _split_ratings(td.ratings(spark, sf))
+
+
+def _split_ratings(r):
     key = F.concat_ws("|", F.col("userId").cast("string"), F.col("movieId").cast("string"))
     return P.split_rows(r, [0.8, 0.2], key, seed=3)
 

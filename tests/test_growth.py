@@ -3,11 +3,18 @@
 import os
 
 import numpy as np
+import pytest
 
+import __spark_entry__ as entry
 from quarry import sources as S
+from quarry.operators import recommend as C
 from quarry.plans import staging
 
 
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_images_in_batches_under_a_plain_folder(spark, monkeypatch):
     """A checkpoint folder without a scheme is where Spark's readers look for it, also on a cluster."""
     monkeypatch.setattr(staging, "is_local", lambda s: False, raising=False)
@@ -26,3 +33,27 @@ def test_paths_without_scheme_become_uris(spark):
     assert staging.as_uri(spark, "/tmp/a/b") == staging.as_uri(spark, "file:/tmp/a/b") == "file:///tmp/a/b"
     assert staging.as_uri(spark, "file:///tmp/a") == "file:///tmp/a"
     assert staging.as_uri(spark, "viewfs://in/a") == "viewfs://in/a"
+
+
+@pytest.fixture(scope="module")
+def orders_and_lines(spark, tmp_path_factory):
+    rng = np.random.default_rng(5)
+    at = str(tmp_path_factory.mktemp("tables"))
+    spark.createDataFrame([(o, int(rng.integers(20))) for o in range(120)], "o_orderkey long, o_custkey long").write.parquet(f"{at}/orders.parquet")
+    lines = [(int(rng.integers(120)), int(rng.integers(15)), float(rng.integers(1, 51))) for _ in range(600)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_quantity double").write.parquet(f"{at}/lineitem.parquet")
+    return at
+
+
+def test_normal_equations_without_a_row_per_factor(spark, orders_and_lines):
+    df = entry.queries()["c1_normal_equations"](spark, orders_and_lines)
+    assert "Generate" not in plan(df)
+    row = df.first()
+    assert row.n == row.n_solved == 20
+
+
+def test_normal_equations_find_a_wrong_fit(spark, orders_and_lines, monkeypatch):
+    fit = C.als_fit
+    monkeypatch.setattr(C, "als_fit", lambda ratings, reg: fit(ratings, reg=1.0))
+    row = entry.queries()["c1_normal_equations"](spark, orders_and_lines).first()
+    assert row.n == 20 and row.n_solved == 0
