@@ -57,3 +57,33 @@ def test_normal_equations_find_a_wrong_fit(spark, orders_and_lines, monkeypatch)
     monkeypatch.setattr(C, "als_fit", lambda ratings, reg: fit(ratings, reg=1.0))
     row = entry.queries()["c1_normal_equations"](spark, orders_and_lines).first()
     assert row.n == 20 and row.n_solved == 0
+
+
+def test_searched_blocks_are_not_paired_with_copies_of_the_others(spark, monkeypatch):
+    """Norms that are alike let no block be skipped; still a block of the searching side is sent once a round."""
+    monkeypatch.setattr(C, "LEFT_BLOCK", 16)
+    monkeypatch.setattr(C, "RIGHT_BLOCK", 8)
+    rng = np.random.default_rng(3)
+    unit = lambda n: [v / np.sqrt(v @ v) for v in rng.normal(size=(n, 12))]
+    left, right = unit(64), unit(800)
+    frame = lambda vectors: spark.createDataFrame(
+        [(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "id int, features array<double>")
+    sent, products = [], C._products
+
+    def counted(pairs, blocks, k):
+        sent.append(pairs.count())
+        return products(pairs, blocks, k)
+
+    monkeypatch.setattr(C, "_products", counted)
+    got = sorted((r.id, r.other, r.place) for r in C.top_products(frame(left), frame(right), 3).collect())
+    scores = np.array(left) @ np.array(right).T
+    want = sorted((i, int(j), p) for i, row in enumerate(scores) for p, j in enumerate(np.argsort(-row, kind="stable")[:3], 1))
+    assert got == want
+    assert sum(sent) <= 64 // 16 * len(sent) and len(sent) <= 4
+
+
+def test_products_with_ties_and_equal_ids_of_either_side(spark):
+    left = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 0.0]), ("c", [-1.0, 0.0])], "id string, features array<double>")
+    right = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(5)], "id long, features array<double>")
+    got = sorted((r.id, r.other, r.score, r.place) for r in C.top_products(left, right, 2).collect())
+    assert got == [("a", 0, 1.0, 1), ("a", 1, 1.0, 2), ("b", 0, 0.0, 1), ("b", 1, 0.0, 2), ("c", 0, -1.0, 1), ("c", 1, -1.0, 2)]
