@@ -8,6 +8,7 @@ import pytest
 import __spark_entry__ as entry
 from quarry import sources as S
 from quarry.operators import recommend as C
+from quarry.operators import tuning as T
 from quarry.plans import staging
 
 
@@ -87,3 +88,22 @@ def test_products_with_ties_and_equal_ids_of_either_side(spark):
     right = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(5)], "id long, features array<double>")
     got = sorted((r.id, r.other, r.score, r.place) for r in C.top_products(left, right, 2).collect())
     assert got == [("a", 0, 1.0, 1), ("a", 1, 1.0, 2), ("b", 0, 0.0, 1), ("b", 1, 0.0, 2), ("c", 0, -1.0, 1), ("c", 1, -1.0, 2)]
+
+
+def test_users_of_items_are_sent_once_a_round(spark, monkeypatch):
+    monkeypatch.setattr(C, "LEFT_BLOCK", 4)
+    monkeypatch.setattr(C, "RIGHT_BLOCK", 2)
+    rng = np.random.default_rng(1)
+    rows = [(u, int(i), float(rng.integers(1, 6))) for u in range(60) for i in rng.choice(20, 8, replace=False)]
+    model = C.als_fit(spark.createDataFrame(rows, "userId int, movieId int, rating float"), rank=4, max_iter=2)
+    sent, products = [], C._products
+
+    def counted(pairs, blocks, k):
+        sent.append(pairs.count())
+        return products(pairs, blocks, k)
+
+    monkeypatch.setattr(C, "_products", counted)
+    got = {(r.movieId, r.rank): r.rating for r in C.recommend_for_items(model, 3).collect()}
+    want = {(r.movieId, p): x.rating for r in model.recommendForAllItems(3).collect() for p, x in enumerate(r.recommendations, 1)}
+    assert got == pytest.approx(want, abs=1e-4)
+    assert max(sent) <= 5 and len(sent) <= 3
