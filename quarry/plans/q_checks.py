@@ -24,7 +24,7 @@ from quarry.operators import transfer as D
 from quarry.operators import tuning as T
 from quarry.plans import q_models, q_text
 from quarry.plans import testdata as td
-from quarry.plans.q_models import LINE_FEATURES, RATING_SETS, _lines, _ratings_split
+from quarry.plans.q_models import LINE_FEATURES, RATING_SETS, _lines
 from quarry.plans.registry import ORACLES, register
 from quarry.plans.sqlparts import with_
 from quarry.session import stage_path
@@ -124,15 +124,19 @@ WHERE userId IN (SELECT userId FROM tr) AND movieId IN (SELECT movieId FROM tr)"
 )
 def c2_factor_product(spark, sf):
     """Test ratings whose prediction is the product of their user's and item's factors."""
-    train, test = _ratings_split(spark, sf)
+    train, test = _stored_split(spark, sf)
     model = C.als_fit(train)
     scored = C.als_score(model, test).select("userId", "movieId", "prediction")
-    user = C.factor_table(model, "user").select(F.col("id").alias("userId"), "pos", F.col("value").alias("u"))
-    item = C.factor_table(model, "item").select(F.col("id").alias("movieId"), "pos", F.col("value").alias("i"))
-    dot = scored.join(user, "userId").join(item, ["movieId", "pos"]).groupBy("userId", "movieId", "prediction").agg(
-        F.sum(F.col("u") * F.col("i")).alias("dot"))
+    # one row per id with a column per place, not a row per rating and place
+    at = range(model.rank)
+    user, item = (
+        C.factor_table(model, side).groupBy(F.col("id").alias(key)).agg(
+            *[F.max(F.when(F.col("pos") == i, F.col("value"))).cast("double").alias(f"{side}{i}") for i in at])
+        for side, key in (("user", "userId"), ("item", "movieId")))
+    dot = sum((F.col(f"user{i}") * F.col(f"item{i}") for i in at), F.lit(0.0)).alias("dot")
+    both = scored.join(user, "userId").join(item, "movieId").select("prediction", dot)
     close = F.abs(F.col("dot") - F.col("prediction")) <= 1e-3 * (1 + F.abs("dot"))
-    return dot.agg(F.count_if(close & (F.col("dot") != 0)).alias("n"))
+    return both.agg(F.count_if(close & (F.col("dot") != 0)).alias("n"))
 
 
 @register("x6_tf_idf_fitted", lambda: ORACLES["x6_tf_idf"])

@@ -60,6 +60,14 @@ def test_normal_equations_find_a_wrong_fit(spark, orders_and_lines, monkeypatch)
     assert row.n == 20 and row.n_solved == 0
 
 
+def test_factor_product_joins_a_row_per_id(spark, orders_and_lines):
+    df = entry.queries()["c2_factor_product"](spark, orders_and_lines)
+    above = plan(df).split("Aggregate [id")[0]  # over the ids' rows
+    assert "Generate" not in above and "pos" not in above.split("Join")[-1]
+    scored = entry.queries()["c2_als_score"](spark, orders_and_lines).first()
+    assert df.first().n == scored.n_finite > 0
+
+
 def test_searched_blocks_are_not_paired_with_copies_of_the_others(spark, monkeypatch):
     """Norms that are alike let no block be skipped; still a block of the searching side is sent once a round."""
     monkeypatch.setattr(C, "LEFT_BLOCK", 16)
