@@ -325,8 +325,8 @@ def ordered_cycles(
                          F.col(end).alias("ca_end"), F.col("at").alias("ca_at"))
     pairs = ordered_join(first, second, ["b_id", "item"], "ab_at", "bc_at", within)
     cycles = ordered_join(pairs, third, ["c_id", "a_id", "item"], "bc_at", "ca_at", within)
-    return cycles.select("a_id", "b_id", "c_id", "item", "ab_start", "ca_end", (F.col("ca_at") - F.col("ab_at")).alias("elapsed_s")).orderBy(
-        "elapsed_s", "a_id", "b_id", "c_id")
+    cycles = cycles.select("a_id", "b_id", "c_id", "item", "ab_start", "ca_end", (F.col("ca_at") - F.col("ab_at")).alias("elapsed_s"))
+    return cycles.checkpoint().orderBy("elapsed_s", "a_id", "b_id", "c_id")  # a sort by ranges reads its input twice
 
 
 # --------------------------------------------------------------------------- PageRank

@@ -20,10 +20,18 @@ from quarry.session import scratch_dir
 
 #: Right rows of a key that share a bucket; most buckets of a key.
 BUCKET_ROWS, MOST_BUCKETS = 2_000, 1_000
+#: Cells that keys are hashed into, to find those that may be busy.
+CELLS = 1 << 20
 
 
 def time_borders(right: DataFrame, on: Sequence[str], time: str, bucket_rows: int) -> DataFrame:
-    """``on`` and ``borders`` (rising starts of the second and later buckets) of the keys that need more than one."""
+    """``on`` and ``borders`` (rising starts of the second and later buckets) of the keys that need more than one.
+
+    A busy key lies in a busy cell, and cells are counted without a shuffle of the rows; only the rows of busy cells are
+    counted by key."""
+    cell = F.pmod(F.xxhash64(*on), F.lit(CELLS))
+    cells = right.groupBy(cell.alias("__cell")).agg(F.count(time).alias("n")).where(F.col("n") > bucket_rows).select("__cell")
+    right = right.withColumn("__cell", cell).join(F.broadcast(cells), "__cell", "left_semi").drop("__cell")
     counts = right.groupBy(*on).agg(F.count(time).alias("n")).where(F.col("n") > bucket_rows)
     busy = right.join(counts, list(on), "left_semi").where(F.col(time).isNotNull())
     shares = [i / MOST_BUCKETS for i in range(1, MOST_BUCKETS)]

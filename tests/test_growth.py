@@ -4,9 +4,11 @@ import os
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from quarry import sources as S
+from quarry.operators import ordered_join as J
 from quarry.operators import recommend as C
 from quarry.operators import tuning as T
 from quarry.plans import staging
@@ -115,3 +117,22 @@ def test_users_of_items_are_sent_once_a_round(spark, monkeypatch):
     want = {(r.movieId, p): x.rating for r in model.recommendForAllItems(3).collect() for p, x in enumerate(r.recommendations, 1)}
     assert got == pytest.approx(want, abs=1e-4)
     assert max(sent) <= 5 and len(sent) <= 3
+
+
+def test_busy_keys_are_found_without_a_shuffle_of_all_rows(spark):
+    rows = spark.range(3000).select((F.col("id") % 1000).alias("k"), F.col("id").cast("double").alias("t"))
+    hot = spark.range(90).select(F.lit(5).cast("long").alias("k"), F.col("id").cast("double").alias("t"))
+    borders = J.time_borders(rows.unionByName(hot), ["k"], "t", 20)
+    exchanged = borders._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert any("Join LeftSemi" in line and "__cell" in line for line in exchanged)
+    found = {r.k: len(r.borders) for r in borders.collect()}
+    assert set(found) == {5} and found[5] >= 3
+
+
+def test_ordered_join_where_many_keys_share_a_cell(spark, monkeypatch):
+    monkeypatch.setattr(J, "CELLS", 2, raising=False)
+    left = spark.createDataFrame([(i % 7, float(i)) for i in range(60)] + [(None, 1.0)], "k long, a double")
+    right = spark.createDataFrame([(0 if i % 3 else i % 7, float(i)) for i in range(60)] + [(None, 9.0)], "k long, b double")
+    got = sorted((r.k, r.a, r.b) for r in J.ordered_join(left, right, ["k"], "a", "b", bucket_rows=5).collect())
+    want = sorted((x.k, x.a, y.b) for x in left.collect() for y in right.collect() if x.k is not None and x.k == y.k and x.a < y.b)
+    assert got == want
