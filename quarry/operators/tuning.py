@@ -7,18 +7,64 @@ recomputation.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import threading
+from collections.abc import Iterator, Sequence
 
-from pyspark.ml import Pipeline
+from pyspark import StorageLevel
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from quarry.functions.scalar import hash_number
 
 
+class _SharedFits(Iterator):
+    """Fitted pipelines of a grid, with the point each belongs to.  Points whose settings differ in the last stage
+    only share one fit of the stages before it, over rows that are transformed and stored once."""
+
+    def __init__(self, stages: Sequence, dataset: DataFrame, maps: Sequence[dict]):
+        self.stages, self.dataset, self.maps = stages, dataset, maps
+        self.lock, self.next_point = threading.Lock(), 0
+        self.groups: dict = {}
+        early = {s.uid for s in stages[:-1]}
+        self.keys = [frozenset((p, repr(v)) for p, v in m.items() if p.parent in early) for m in maps]
+
+    def __next__(self):
+        with self.lock:
+            point = self.next_point
+            if point >= len(self.maps):
+                raise StopIteration
+            self.next_point += 1
+            group = self.groups.setdefault(self.keys[point], {"lock": threading.Lock(), "left": self.keys.count(self.keys[point])})
+        chosen = self.maps[point]
+        with group["lock"]:
+            if "rows" not in group:
+                before = Pipeline(stages=list(self.stages[:-1])).fit(self.dataset, chosen)
+                group["stages"], group["rows"] = before.stages, before.transform(self.dataset).persist(StorageLevel.MEMORY_AND_DISK)
+        last = self.stages[-1].copy(chosen)
+        fitted = last if isinstance(last, Transformer) else last.fit(group["rows"])
+        with group["lock"]:
+            group["left"] -= 1
+            if not group["left"]:
+                group["rows"].unpersist()
+        return point, PipelineModel([*group["stages"], fitted])
+
+
+class SharedPipeline(Pipeline):
+    """A pipeline that fits the stages before the last once for all grid points that set them alike."""
+
+    def fitMultiple(self, dataset: DataFrame, paramMaps: Sequence[dict]) -> Iterator:  # noqa: N802, N803
+        stages = self.getStages()
+        own = {self.uid, *(s.uid for s in stages)}
+        simple = len(stages) > 1 and all(isinstance(s, Estimator | Transformer) and not isinstance(s, Pipeline) for s in stages)
+        if not simple or any(p.parent not in own or p.parent == self.uid for m in paramMaps for p in m):
+            return super().fitMultiple(dataset, paramMaps)
+        return _SharedFits(stages, dataset, paramMaps)
+
+
 def pipeline(stages: Sequence) -> Pipeline:
-    """Ordered stages fitted and applied in turn."""
-    return Pipeline(stages=list(stages))
+    """Ordered stages fitted and applied in turn; over a grid, see ``SharedPipeline``."""
+    return SharedPipeline(stages=list(stages))
 
 
 def param_grid(axes: Sequence[tuple[object, Sequence]]) -> list:

@@ -606,7 +606,7 @@ def t1_pipeline(spark, sf):
 
 
 def _formula_frame(spark, sf):
-    return td.table(spark, sf, "orders").select(
+    return td.table(spark, sf, "orders", spread_out=True).select(
         "o_orderkey",
         F.when(F.col("o_orderstatus") == "F", "good").otherwise("bad").alias("lab"),
         F.col("o_orderpriority").alias("color"),

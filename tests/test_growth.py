@@ -4,6 +4,12 @@ import os
 
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.feature import RFormula
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -119,6 +125,32 @@ def test_users_of_items_are_sent_once_a_round(spark, monkeypatch):
     assert max(sent) <= 5 and len(sent) <= 3
 
 
+def test_grid_points_share_the_fits_of_early_stages(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [("ab"[int(x > 0)], float(x + rng.normal()), float(rng.normal())) for x in rng.normal(size=200)]
+    df = spark.createDataFrame(rows, "lab string, v double, w double")
+    rform, lr = RFormula(), LogisticRegression(maxIter=5)
+    grid = T.param_grid([(rform.formula, ["lab ~ v", "lab ~ v + w"]), (lr.regParam, [0.0, 0.1, 1.0])])
+    fits, fit = [], RFormula._fit
+    monkeypatch.setattr(RFormula, "_fit", lambda self, data: fits.append(1) or fit(self, data))
+    evaluator = BinaryClassificationEvaluator(numBins=0)
+    got = T.train_validation_split(T.pipeline([rform, lr]), grid, evaluator, df)
+    assert len(fits) == 2 + 1  # one for each formula, and the last on all rows
+    want = TrainValidationSplit(estimator=Pipeline(stages=[rform, lr]), estimatorParamMaps=grid, evaluator=evaluator,
+                                trainRatio=0.75, seed=42).fit(df)
+    # the split's column of random numbers does not depend on the estimator
+    assert got.validationMetrics == pytest.approx(want.validationMetrics, abs=1e-9)
+    assert [s.uid for s in got.bestModel.stages][0] == [s.uid for s in want.bestModel.stages][0]
+    assert got.bestModel.stages[1].coefficients == want.bestModel.stages[1].coefficients
+
+
+def test_grid_over_a_pipeline_of_one_stage(spark):
+    df = spark.createDataFrame([(float(i % 2), Vectors.dense([float(i)])) for i in range(40)], ["label", "features"])
+    lr = LogisticRegression(maxIter=3)
+    grid = T.param_grid([(lr.regParam, [0.0, 0.1])])
+    assert len(T.train_validation_split(T.pipeline([lr]), grid, BinaryClassificationEvaluator(), df).validationMetrics) == 2
+
+
 def test_busy_keys_are_found_without_a_shuffle_of_all_rows(spark):
     rows = spark.range(3000).select((F.col("id") % 1000).alias("k"), F.col("id").cast("double").alias("t"))
     hot = spark.range(90).select(F.lit(5).cast("long").alias("k"), F.col("id").cast("double").alias("t"))
