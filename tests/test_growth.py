@@ -18,6 +18,7 @@ from quarry.operators import ordered_join as J
 from quarry.operators import recommend as C
 from quarry.operators import tuning as T
 from quarry.plans import staging
+from quarry.plans import testdata as td
 
 
 def plan(df):
@@ -106,6 +107,14 @@ def test_products_with_ties_and_equal_ids_of_either_side(spark):
     assert got == [("a", 0, 1.0, 1), ("a", 1, 1.0, 2), ("b", 0, 0.0, 1), ("b", 1, 0.0, 2), ("c", 0, -1.0, 1), ("c", 1, -1.0, 2)]
 
 
+def test_spread_bounds_the_rows_of_a_partition(spark):
+    df = td.spread(spark.range(0, 1000, 1, 1), rows=50)
+    sizes = [r["n"] for r in df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 1000 and len(sizes) == 20 and max(sizes) <= 60
+    few = spark.range(0, 1000, 1, 30)
+    assert td.spread(few, rows=50) is few
+
+
 def test_users_of_items_are_sent_once_a_round(spark, monkeypatch):
     monkeypatch.setattr(C, "LEFT_BLOCK", 4)
     monkeypatch.setattr(C, "RIGHT_BLOCK", 2)
