@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.bpe import encoder
-from quarry.llm.common import saved, whole_text
+from quarry.llm.common import lean, saved, whole_text
 
 #: Tokens of a sequence; id that ends a document.
 LENGTH, END_ID = 1024, 2
@@ -68,7 +68,7 @@ def encode_pieces(docs: DataFrame, locate: Callable[[], str], length: int = LENG
                 )
         own.rest()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).mapInArrow(run, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).mapInArrow(lean(run), PIECES)
 
 
 def best_fit(bins: Packing, left: dict[int, int], length: int) -> Packing:
@@ -241,4 +241,4 @@ def pack(docs: DataFrame, locate: Callable[[], str], length: int = LENGTH, end_i
             )
 
     names = [c.split()[0] for c in PIECES.split(", ")]
-    return numbered(pieces).select(*names, "number").mapInArrow(place, out)
+    return numbered(pieces).select(*names, "number").mapInArrow(lean(place), out)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import fresh, saved, whole_text
+from quarry.llm.common import fresh, lean, saved, whole_text
 
 #: Bounds of the sample that the fit reads.
 POSITIVES, UNLABELLED = 5000, 10000
@@ -95,7 +95,7 @@ def _featured(docs: DataFrame, mark: str) -> list[tuple[bool, bool, np.ndarray]]
             found = [features(t.as_py()).astype("<f8").tobytes() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column(mark), pa.array(found, pa.binary())], names=[mark, "x"])
 
-    rows = docs.select(mark, whole_text().alias("text")).mapInArrow(run, f"{mark} int, x binary")
+    rows = docs.select(mark, whole_text().alias("text")).mapInArrow(lean(run), f"{mark} int, x binary")
     return [(r[mark], np.frombuffer(r["x"], "<f8")) for r in rows.collect()]
 
 
@@ -139,7 +139,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float, float], out: str = "s
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s)], names=[*batch.schema.names, out])
 
     schema = docs.withColumn(out, F.lit(0.0)).schema
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import fresh, saved, whole_text
+from quarry.llm.common import fresh, lean, saved, whole_text
 from quarry.llm.components import components
 
 #: Words in a shingle, bits that may differ, seed of XXH64.
@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 names=["doc_id", "text_hash", "fp"],
             )
 
-    return rows.mapInArrow(run, kept.add("fp", "long"))
+    return rows.mapInArrow(lean(run), kept.add("fp", "long"))
 
 
 def _counts(fp: Column) -> list[Column]:
@@ -193,7 +193,7 @@ def links(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     dealt = tiles.repartition("tile", "part").sortWithinPartitions("tile", "part", "visitor")
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(lean(run), "a long, b long")
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
